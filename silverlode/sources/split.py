@@ -2,10 +2,11 @@
 
 Whether a line break ends a record depends on all the text before it. Each line is therefore
 reduced to its *effect*: whether a quoted field is open after the line, given that none was open
-before it, and given that one was. Effects compose, so those of a block's lines give the effect
-of the block, and those of a file's blocks tell each block how it begins. After that, blocks are
-cut into records side by side; only the few records that cross a block boundary are put together
-from their pieces. No task holds more than a block of text, however large the file.
+before it (``opens``), and given that one was (``stays``). Effects compose, so those of a block's
+lines give the effect of the block, and those of a file's blocks tell how each block begins. Lines
+at the head of a block that finish a record begun earlier then move to the block where it began,
+and every block is cut into whole records on its own. No task holds more than a block of text and
+one record, however large the file.
 """
 
 from __future__ import annotations
@@ -22,19 +23,22 @@ CSV_FORMAT = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
 # Text of a record whose field count is not the header's; null for all others.
 RECORD = "_record"
 
-_BLOCK = ["file", "block"]
+# A block's bounds take some 200 bytes, so this many stay far below a broadcast's limit. It is
+# reached at 60 TB of CSV in blocks of the usual size; beyond it the join shuffles.
+BROADCAST_BLOCKS = 500_000
+
 _BLANK = r"^[ \t\r]*$"
 
 
 def split_records(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     """All records as string columns ``names`` plus ``RECORD``, headers left out."""
     lines = _staged_lines(spark, path)
-    records = _stitch(_pieces(lines, _block_starts(lines)))
+    records = _records(lines, _staged_heads(spark, lines))
     schema = ", ".join("`" + n.replace("`", "``") + "` STRING" for n in [*names, RECORD])
     options = {"quote": CSV_FORMAT["quote"], "escape": CSV_FORMAT["escape"], "columnNameOfCorruptRecord": RECORD}
     # inline keeps the parse to one evaluation per record.
     fields = records.select("is_header", F.inline(F.array(F.from_csv("text", schema, options))))
-    return fields.where(_data_row(names)).select(*[exact(n) for n in names], RECORD)
+    return fields.where(_is_data(names)).select(*[exact(n) for n in names], RECORD)
 
 
 def _staged_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -55,9 +59,13 @@ def _staged_lines(spark: SparkSession, path: str) -> DataFrame:
         .withColumn("opens", F.when(has_quote, _leaves_open(F.col("value"))).otherwise(False))
         .withColumn("stays", F.when(has_quote, _leaves_open(F.concat(F.lit('"'), "value"))).otherwise(True))
     )
-    staged = scratch_path(spark, "lines")
-    lines.write.parquet(staged, compression="zstd")
-    return spark.read.schema(lines.schema).parquet(staged)
+    return _staged(spark, lines, "lines")
+
+
+def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    df.write.parquet(path, compression="zstd")
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _leaves_open(text: Column) -> Column:
@@ -71,96 +79,85 @@ def _leaves_open(text: Column) -> Column:
     return last_field.rlike(r'^"[^"]*+$')
 
 
-def _running_effect(df: DataFrame, partition: list[str], order: str) -> DataFrame:
-    """Columns ``opens_to`` and ``stays_to``: the effect from the partition's start through this row.
+def _with_open_after(df: DataFrame, partition: list[str], order: list[str]) -> DataFrame:
+    """Adds ``open_after``: whether a quoted field is open after this row, if none is at the start.
 
-    An effect either fixes the state (both answers equal), flips it, or leaves it. So the state
-    follows from the last row that fixed it and the number of flips since.
+    An effect either fixes the state (``opens`` equals ``stays``), flips it, or leaves it. So the
+    state follows from the last row that fixed it and the number of flips since.
     """
-    w = W.partitionBy(*partition).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    w = W.partitionBy(*partition).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     fixes = F.col("opens") == F.col("stays")
     flips = (F.col("opens") & ~F.col("stays")).cast("int")
-    out = df.withColumn("flips", F.sum(flips).over(w)).withColumn(
-        "fixed", F.last(F.when(fixes, F.struct("opens", "flips")), ignorenulls=True).over(w)
+    state = F.when(
+        F.col("fixed").isNull(), F.col("flips")
+    ).otherwise(F.col("fixed.opens").cast("int") + F.col("flips") - F.col("fixed.flips"))
+    return (
+        df.withColumn("flips", F.sum(flips).over(w))
+        .withColumn("fixed", F.last(F.when(fixes, F.struct("opens", "flips")), ignorenulls=True).over(w))
+        .withColumn("open_after", state % 2 == 1)
+        .drop("flips", "fixed")
     )
 
-    def state(before: bool) -> Column:
-        since = F.col("flips") - F.coalesce(F.col("fixed.flips"), F.lit(0))
-        start = F.coalesce(F.col("fixed.opens"), F.lit(before))
-        return (start.cast("int") + since) % 2 == 1
 
-    return out.withColumn("opens_to", state(False)).withColumn("stays_to", state(True)).drop("flips", "fixed")
-
-
-def _block_starts(lines: DataFrame) -> DataFrame:
-    """For each block, whether its first line begins inside a quoted field.
+def _staged_heads(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """Blocks that begin inside a record: the head's last line, and the block it belongs to.
 
     Only lines that change the state are collected, a few bytes each, and a group is one block.
     """
     changes = F.when(F.col("opens") | ~F.col("stays"), F.struct("line", "opens", "stays"))
-    effect = F.aggregate(
-        F.array_sort(F.collect_list(changes)),
-        F.struct(F.lit(False).alias("opens"), F.lit(True).alias("stays")),
-        lambda so_far, line: F.struct(
-            F.when(so_far["opens"], line["stays"]).otherwise(line["opens"]).alias("opens"),
-            F.when(so_far["stays"], line["stays"]).otherwise(line["opens"]).alias("stays"),
-        ),
-    )
-    blocks = lines.groupBy(*_BLOCK).agg(effect.alias("effect")).select(*_BLOCK, "effect.*")
-    in_order = W.partitionBy("file").orderBy("block")
-    return _running_effect(blocks, ["file"], "block").select(
-        *_BLOCK, F.lag("opens_to", 1, False).over(in_order).alias("block_open")
+    nothing = F.struct(
+        F.lit(False).alias("opens"), F.lit(True).alias("stays"), F.lit(None).cast("long").alias("closes")
     )
 
+    def then(so_far: Column, line: Column) -> Column:
+        stays = F.when(so_far["stays"], line["stays"]).otherwise(line["opens"])
+        return F.struct(
+            F.when(so_far["opens"], line["stays"]).otherwise(line["opens"]).alias("opens"),
+            stays.alias("stays"),
+            F.coalesce(so_far["closes"], F.when(~stays, line["line"])).alias("closes"),
+        )
 
-def _pieces(lines: DataFrame, starts: DataFrame) -> DataFrame:
-    """Blocks cut at record starts; piece 0 goes on from the block before, if there is one."""
-    in_order = W.partitionBy(*_BLOCK).orderBy("line")
-    before = F.when(F.col("block_open"), F.lag("stays_to", 1, True).over(in_order)).otherwise(
-        F.lag("opens_to", 1, False).over(in_order)
+    blocks = lines.groupBy("file", "block").agg(
+        F.aggregate(F.array_sort(F.collect_list(changes)), nothing, then).alias("effect"),
+        F.max("line").alias("last_line"),
     )
-    after = F.when(F.col("block_open"), F.col("stays_to")).otherwise(F.col("opens_to"))
-    so_far = in_order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    return (
-        _running_effect(lines, _BLOCK, "line")
-        .join(starts, _BLOCK)
-        .withColumn("before", before)
-        .withColumn("after", after)
-        .where(F.col("before") | ~F.col("value").rlike(_BLANK))
-        .withColumn("piece", F.sum((~F.col("before")).cast("int")).over(so_far))
-        .groupBy(*_BLOCK, "piece")
-        .agg(
-            _joined(F.struct("line", "value")).alias("text"),
-            F.max_by("after", "line").alias("goes_on"),
-        )
+    in_file = W.partitionBy("file").orderBy("block")
+    begins_open = F.lag("open_after", 1, False).over(in_file)
+    has_start = ~F.col("begins_open") | (F.col("closes") < F.col("last_line"))
+    home = F.last(F.when(has_start, F.col("block")), ignorenulls=True).over(in_file.rowsBetween(W.unboundedPreceding, -1))
+    heads = (
+        _with_open_after(blocks.select("file", "block", "effect.*", "last_line"), ["file"], ["block"])
+        .withColumn("begins_open", begins_open)
+        .withColumn("home", home)
+        .where("begins_open")
+        .select("file", "block", "home", F.coalesce("closes", "last_line").alias("head_end"))
     )
+    staged = _staged(spark, heads, "heads")
+    return F.broadcast(staged) if staged.count() <= BROADCAST_BLOCKS else staged
 
 
-def _stitch(pieces: DataFrame) -> DataFrame:
-    """Records: whole pieces as they are, and those cut by a block's end put together again."""
-    cut = (F.col("piece") == 0) | F.col("goes_on")
-    is_header = ((F.col("block") == 0) & (F.col("piece") == 1)).alias("is_header")
-    whole = pieces.where(~cut).select(is_header, "text")
-    in_file = W.partitionBy("file").orderBy("block", "piece")
-    mended = (
-        pieces.where(cut)
-        .withColumn("first_block", F.last(F.when(F.col("piece") > 0, F.col("block")), ignorenulls=True).over(in_file))
-        .groupBy("file", "first_block")
-        .agg(
-            F.min(F.struct("block", "piece")).alias("first"),
-            _joined(F.struct("block", F.col("text").alias("value"))).alias("text"),
+def _records(lines: DataFrame, heads: DataFrame) -> DataFrame:
+    """The text of every record, and whether it is the first of its file. Blank lines are left out."""
+    place = ["block", "line"]
+    own = F.coalesce(F.when(F.col("line") <= F.col("head_end"), F.col("home")), F.col("block"))
+    moved = lines.join(heads, ["file", "block"], "left").withColumn("own_block", own).drop("home", "head_end")
+    in_block = W.partitionBy("file", "own_block").orderBy(*place)
+    parts = F.array_sort(F.collect_list(F.struct(*place, "value")))
+    return (
+        _with_open_after(moved, ["file", "own_block"], place)
+        .withColumn("starts", ~F.lag("open_after", 1, False).over(in_block))
+        .where(~F.col("starts") | ~F.col("value").rlike(_BLANK))
+        .withColumn("record", F.sum(F.col("starts").cast("int")).over(in_block.rowsBetween(W.unboundedPreceding, 0)))
+        .groupBy("file", "own_block", "record")
+        .agg(F.concat_ws("\n", F.transform(parts, lambda part: part["value"])).alias("text"))
+        .select(
+            ((F.col("own_block") == 0) & (F.col("record") == 1)).alias("is_header"),
+            F.regexp_replace("text", r"\r\z", "").alias("text"),
         )
-        .select(((F.col("first.block") == 0) & (F.col("first.piece") == 1)).alias("is_header"), "text")
     )
-    return whole.unionByName(mended).withColumn("text", F.regexp_replace("text", r"\r\z", ""))
-
-
-def _joined(placed: Column) -> Column:
-    """The values of a group as one text, in the order of their place."""
-    return F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(placed)), lambda part: part["value"]))
 
 
-def _data_row(names: list[str]) -> Column:
+def _is_data(names: list[str]) -> Column:
     """False for a header; fails on one that differs, as its columns would be mixed up."""
     found = F.array(*[F.regexp_replace(exact(n), "^\ufeff", "") for n in names])
     differs = F.raise_error(F.concat(F.lit("CSV files differ in their headers: "), F.to_json(found))).cast("boolean")
