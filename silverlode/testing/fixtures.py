@@ -30,7 +30,7 @@ class Elements:
     fields: dict[str, str]
 
 
-# Null fields are left out of the documents. Some ids do not fit an int, some names hold quotes,
+# Null fields are left out of the documents. A few ids do not fit an int, some names hold quotes,
 # line breaks and accents, and some arrays are empty.
 ELEMENTS = {
     "crew": Elements(
@@ -40,7 +40,7 @@ ELEMENTS = {
             "department": "o_orderstatus",
             "credit_id": "CASE WHEN i = 1 THEN NULL ELSE concat('c', o_custkey, '-', i) END",
             "gender": "i % 3",
-            "id": "o_orderkey * 200003 + i",
+            "id": "CASE WHEN i = 5 AND o_orderkey % 7 = 0 THEN 3000000000 ELSE o_custkey * 10 END + i",
             "name": "concat('P \"', o_custkey, '\" é', chr(10), i)",
             "job": "o_orderpriority",
         },
@@ -66,7 +66,7 @@ ELEMENTS = {
     "keywords": Elements(
         absent="p_size = 13",
         size="p_size",
-        fields={"id": "p_partkey * 2000003 + i", "name": "concat(p_name, ' ', i)"},
+        fields={"id": "CASE WHEN i = 9 AND p_partkey % 5 = 0 THEN 3000000000 ELSE p_partkey * 100 END + i", "name": "concat(p_name, ' ', i)"},
     ),
     "production_companies": Elements(
         absent="p_partkey % 17 = 0",
