@@ -1,3 +1,3 @@
-from silverlode.functions.text import blank_null_words, exact, typed
+from silverlode.functions.text import blank_null_words, quoted, typed
 
-__all__ = ["blank_null_words", "exact", "typed"]
+__all__ = ["blank_null_words", "quoted", "typed"]

@@ -20,14 +20,21 @@ INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 NUMBER_TEXT = r"(?i)^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity)\s*$"
 
 
-def exact(name: str) -> Column:
-    """The column of exactly this name, dots and all."""
-    return F.col("`" + name.replace("`", "``") + "`")
+def quoted(name: str) -> str:
+    """The name as a SQL identifier, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def blank_null_words(text: Column) -> Column:
-    """Null where the raw text is one of the null words, quoted in the file or not."""
-    return F.when(~text.isin(*NULL_WORDS), text)
+def blank_null_words(name: str) -> Column:
+    """A raw text column, null where it is one of the null words, quoted in the file or not.
+
+    A length in bytes is known at once, so long texts are not hashed to look them up. One SQL
+    expression stands for what would be dozens of column calls in a wide table.
+    """
+    text = quoted(name)
+    words = ", ".join(f"'{word}'" for word in NULL_WORDS)
+    longest = max(map(len, NULL_WORDS))
+    return F.expr(f"CASE WHEN octet_length({text}) > {longest} OR {text} NOT IN ({words}) THEN {text} END").alias(name)
 
 
 def typed(text: Column, to: DataType) -> Column:

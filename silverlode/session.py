@@ -47,9 +47,13 @@ def table_format(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that all executors share (``spark.checkpoint.dir``).
 
-    Only a session that names no such folder, as in tests, falls back to a local one.
+    Only a local session may leave that setting out, and then gets a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="silverlode-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="silverlode-")
     return f"{base.rstrip('/')}/silverlode/{uuid.uuid4().hex}/{name}"
 
 

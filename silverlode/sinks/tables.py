@@ -17,6 +17,7 @@ def write_bronze(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, m
 
     ``mode`` is ``overwrite``, which replaces the whole directory and so leaves no rows of an
     earlier, longer load, or ``errorifexists``. An empty table leaves one file with the schema.
+    The old files go before the new ones are written, so a load that fails leaves none of them.
     """
     if rows_per_file < 1:
         raise ValueError(f"rows_per_file must be positive, not {rows_per_file}")

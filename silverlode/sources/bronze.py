@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from silverlode.functions import quoted
 from silverlode.model import check_schema
 
 
@@ -12,13 +13,12 @@ def scan_bronze(spark: SparkSession, path: str, schema: StructType, check: bool
     """A Bronze Parquet directory under its declared schema.
 
     A declared column that the files lack would read as null, so ``check`` compares the declared
-    schema with a file footer first. Columns not used later are never read.
+    schema with a file footer, in any column order. Columns not used later are never read.
     """
-    if check:
-        found = spark.read.parquet(path).schema
-        check_schema(StructType(sorted(found, key=_name)), StructType(sorted(schema, key=_name)), path)
-    return spark.read.schema(schema).parquet(path)
-
-
-def _name(column) -> str:
-    return column.name
+    if not check:
+        return spark.read.schema(schema).parquet(path)
+    found = spark.read.parquet(path)
+    in_order = [found.schema[name] for name in schema.names if name in found.columns]
+    extra = [column for column in found.schema if column.name not in schema.names]
+    check_schema(StructType(in_order + extra), schema, path)
+    return found.select(*[quoted(name) for name in schema.names])

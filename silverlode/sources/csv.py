@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -15,7 +17,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from silverlode.functions import blank_null_words, exact, typed
+from silverlode.functions import blank_null_words, quoted, typed
 from silverlode.functions.text import FALSE_WORDS, INTEGER_TEXT, NUMBER_TEXT, TRUE_WORDS
 from silverlode.sources.split import CSV_FORMAT, RECORD, split_records
 
@@ -34,42 +36,69 @@ def read_csv(
     fails the job, and blank lines are skipped. The files under ``path`` must have the same header
     and the same line ends. Files larger than ``split_above`` bytes are read in parallel pieces.
     """
-    names = _header(spark, path)
-    if _largest_file(spark, path) > split_above or _ends_lines_with_cr_lf(spark, path):
-        raw = split_records(spark, path, names)
+    header, cr_lf = _header(spark, path)
+    if cr_lf or _has_file_above(spark, path, split_above):
+        raw = split_records(spark, path, header)
     else:
-        raw = _whole_files(spark, path, names)
-    text = raw.where(_is_record(names)).select(*[blank_null_words(exact(n)).alias(n) for n in names])
+        raw = _whole_files(spark, path, header)
+    names = _column_names(header)
+    records = raw.toDF(*names, RECORD).where(_is_record(names))
+    text = records.select(*[blank_null_words(n) for n in names])
     if schema is None:
         schema = infer_schema(text)
-    return text.select(*[typed(exact(f.name), f.dataType).alias(f.name) for f in schema])
+    return text.select(*[typed(F.col(quoted(f.name)), f.dataType).alias(f.name) for f in schema])
+
 
+def _header(spark: SparkSession, path: str) -> tuple[list[str], bool]:
+    """The cells of the first record of one file, and whether its lines end in CR LF.
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names: only the first record of one file is read."""
-    return spark.read.options(**CSV_FORMAT).csv(path, header=True, multiLine=True).columns
+    With such line ends, reading whole files would lose the carriage returns in quoted fields.
+    """
+    first = spark.read.text(path, lineSep="\n").where(~F.col("value").rlike(r"^[ \t\r]*$")).first()
+    line = first["value"] if first else ""
+    if line.count('"') % 2:  # a name goes on in the next line
+        header = spark.read.options(**CSV_FORMAT).csv(path, header=True, multiLine=True).columns
+    else:
+        header = next(csv.reader([line.removesuffix("\r").removeprefix("\ufeff")]), [])
+    if not header:
+        raise ValueError(f"{path}: the first line holds no column names")
+    return header, line.endswith("\r")
 
 
-def _largest_file(spark: SparkSession, path: str) -> int:
-    """Size in bytes of the largest file, from the file listing alone."""
-    sizes = spark.read.format("binaryFile").load(path).agg(F.max("length").alias("size"))
-    return sizes.first()["size"] or 0
+def _column_names(header: list[str]) -> list[str]:
+    """Unnamed columns are named by their place, and repeated names numbered."""
+    names: list[str] = []
+    for i, cell in enumerate(header):
+        name = base = cell or f"Unnamed: {i}"
+        repeat = 0
+        while name in names:
+            repeat += 1
+            name = f"{base}.{repeat}"
+        names.append(name)
+    return names
 
 
-def _ends_lines_with_cr_lf(spark: SparkSession, path: str) -> bool:
-    """If so, whole files would lose the carriage returns inside quoted fields."""
-    first = spark.read.text(path, lineSep="\n").first()
-    return first is not None and first["value"].endswith("\r")
+def _has_file_above(spark: SparkSession, path: str, size: int) -> bool:
+    """Whether any file has more than ``size`` bytes, from the file listing alone."""
+    return not spark.read.format("binaryFile").load(path).where(F.col("length") > size).select("length").isEmpty()
 
 
-def _whole_files(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """One task reads a file from end to end; each file must have the same header."""
+def _whole_files(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
+    """One task reads a file from end to end.
+
+    Each file's header is checked, unless a schema cannot state it as names are blank or repeated.
+    """
+    names = _column_names(header)
     schema = StructType([StructField(n, StringType()) for n in [*names, RECORD]])
     return spark.read.options(**CSV_FORMAT).csv(
-        path, schema,
-        header=True, multiLine=True, lineSep="\n", enforceSchema=False,
+        path,
+        schema,
+        header=True,
+        multiLine=True,
+        lineSep="\n",
+        enforceSchema=names != header,
         columnNameOfCorruptRecord=RECORD,
-    )
+    )
 
 
 def _is_record(names: list[str]) -> Column:
@@ -77,8 +106,8 @@ def _is_record(names: list[str]) -> Column:
 
     ``RECORD`` holds the text of a record whose field count is not the header's, else null.
     """
-    record = exact(RECORD)
-    blank = record.rlike(r"^[ \t\r\n]*$") & F.coalesce(exact(names[0]), F.lit("")).rlike(r"^[ \t\r\n]*$")
+    record = F.col(RECORD)
+    blank = record.rlike(r"^[ \t\r\n]*$") & F.coalesce(F.col(quoted(names[0])), F.lit("")).rlike(r"^[ \t\r\n]*$")
     commas = F.regexp_replace(F.regexp_replace(record, r'"[^"]*+"', ""), r"[^,]++", "")
     too_long = F.raise_error(
         F.concat(F.lit(f"CSV record has more than the {len(names)} fields of the header: "), record)
@@ -100,7 +129,7 @@ def infer_schema(text: DataFrame) -> StructType:
     """
     measures = []
     for i, name in enumerate(text.columns):
-        c = exact(name)
+        c = F.col(quoted(name))
         whole = c.rlike(INTEGER_TEXT)
         wide = F.when(whole, F.trim(c)).try_cast("decimal(20,0)")
         measures += [

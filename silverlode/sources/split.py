@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from silverlode.functions import exact
-from silverlode.session import scratch_path
+from silverlode.session import scratch_path, session_settings
 
 CSV_FORMAT = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
 
@@ -27,18 +26,30 @@ RECORD = "_record"
 # reached at 60 TB of CSV in blocks of the usual size; beyond it the join shuffles.
 BROADCAST_BLOCKS = 500_000
 
+# Text that one task of the shuffle sorts, spilling as needed, and cuts into records.
+BYTES_PER_PARTITION = 1024 * 1024 * 1024
+
 _BLANK = r"^[ \t\r]*$"
 
 
-def split_records(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """All records as string columns ``names`` plus ``RECORD``, headers left out."""
+def split_records(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
+    """All records as one string column per cell of the header, plus ``RECORD``; headers left out."""
+    partitions = _partitions(spark, path)
     lines = _staged_lines(spark, path)
-    records = _records(lines, _staged_heads(spark, lines))
-    schema = ", ".join("`" + n.replace("`", "``") + "` STRING" for n in [*names, RECORD])
+    records = _records(lines, _staged_heads(spark, lines, partitions), partitions)
+    cells = [f"_c{i}" for i in range(len(header))]
+    schema = ", ".join(f"{name} STRING" for name in [*cells, RECORD])
     options = {"quote": CSV_FORMAT["quote"], "escape": CSV_FORMAT["escape"], "columnNameOfCorruptRecord": RECORD}
     # inline keeps the parse to one evaluation per record.
-    fields = records.select("is_header", F.inline(F.array(F.from_csv("text", schema, options))))
-    return fields.where(_is_data(names)).select(*[exact(n) for n in names], RECORD)
+    parsed = records.select("is_header", F.inline(F.array(F.from_csv("text", schema, options))))
+    return parsed.where(_is_data(cells, header)).select(*cells, RECORD)
+
+
+def _partitions(spark: SparkSession, path: str) -> int | None:
+    """Shuffle partitions for the text under ``path``, if it needs more than the session gives."""
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
+    wanted = size // BYTES_PER_PARTITION + 1
+    return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
 
 
 def _staged_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -99,7 +110,7 @@ def _with_open_after(df: DataFrame, partition: list[str], order: list[str]) -> D
     )
 
 
-def _staged_heads(spark: SparkSession, lines: DataFrame) -> DataFrame:
+def _staged_heads(spark: SparkSession, lines: DataFrame, partitions: int | None) -> DataFrame:
     """Blocks that begin inside a record: the head's last line, and the block it belongs to.
 
     Only lines that change the state are collected, a few bytes each, and a group is one block.
@@ -132,15 +143,18 @@ def _staged_heads(spark: SparkSession, lines: DataFrame) -> DataFrame:
         .where("begins_open")
         .select("file", "block", "home", F.coalesce("closes", "last_line").alias("head_end"))
     )
-    staged = _staged(spark, heads, "heads")
+    with session_settings(spark, {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}):
+        staged = _staged(spark, heads, "heads")
     return F.broadcast(staged) if staged.count() <= BROADCAST_BLOCKS else staged
 
 
-def _records(lines: DataFrame, heads: DataFrame) -> DataFrame:
+def _records(lines: DataFrame, heads: DataFrame, partitions: int | None) -> DataFrame:
     """The text of every record, and whether it is the first of its file. Blank lines are left out."""
     place = ["block", "line"]
     own = F.coalesce(F.when(F.col("line") <= F.col("head_end"), F.col("home")), F.col("block"))
     moved = lines.join(heads, ["file", "block"], "left").withColumn("own_block", own).drop("home", "head_end")
+    if partitions:
+        moved = moved.repartition(partitions, "file", "own_block")
     in_block = W.partitionBy("file", "own_block").orderBy(*place)
     parts = F.array_sort(F.collect_list(F.struct(*place, "value")))
     return (
@@ -157,9 +171,9 @@ def _records(lines: DataFrame, heads: DataFrame) -> DataFrame:
     )
 
 
-def _is_data(names: list[str]) -> Column:
+def _is_data(cells: list[str], header: list[str]) -> Column:
     """False for a header; fails on one that differs, as its columns would be mixed up."""
-    found = F.array(*[F.regexp_replace(exact(n), "^\ufeff", "") for n in names])
+    found = F.array(*[F.regexp_replace(F.coalesce(c, F.lit("")), "^\ufeff", "") for c in cells])
     differs = F.raise_error(F.concat(F.lit("CSV files differ in their headers: "), F.to_json(found))).cast("boolean")
-    same = found == F.array(*[F.lit(n) for n in names])
+    same = found == F.array(*[F.lit(name) for name in header])
     return F.when(~F.col("is_header"), True).when(same, False).otherwise(differs)

@@ -148,14 +148,14 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], No
     return _built[key]
 
 
-def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The Bronze table ``movies`` or ``credits``, written to files and read back."""
+def bronze(spark: SparkSession, sf_dir: str, name: str, check: bool = False) -> DataFrame:
+    """The Bronze table ``movies`` or ``credits``, written to files once and read back."""
 
     def build(path: str) -> None:
         source = table(spark, sf_dir, PARENT_TABLE[name])
         write_bronze(bronze_rows(source, name), path, rows_per_file(source.count()))
 
-    return scan_bronze(spark, _once(spark, sf_dir, f"bronze-{name}", build), BRONZE[name])
+    return scan_bronze(spark, _once(spark, sf_dir, f"bronze-{name}", build), BRONZE[name], check)
 
 
 def bronze_rows(source: DataFrame, name: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 
 from silverlode.functions.text import NULL_WORDS
 from silverlode.model import struct
+from silverlode.session import session_settings
 from silverlode.sources import read_csv
 
 PARITY = b'''id,title,js,rt,d,flag,big
@@ -128,7 +129,7 @@ def test_dirty_text_never_throws(spark, tmp_path, split_above, ansi):
 
 @whole_and_split
 def test_blank_lines_and_short_records(spark, tmp_path, small_splits, split_above):
-    data = b'id,a,b\n\n1,"x\n\ny",2\n   \n2,short\n\t\n3,,\n4, "z",9\n,,\n'
+    data = b'\n\nid,a,b\n\n1,"x\n\ny",2\n   \n2,short\n\t\n3,,\n4, "z",9\n,,\n'
     path = put(tmp_path, data)
     df = read_csv(spark, path, struct(id="long", a="string", b="long"), split_above)
     frame = pd.read_csv(path + "/in.csv")
@@ -180,6 +181,23 @@ def test_files_with_other_headers_are_refused(spark, tmp_path, small_splits, spl
         read_csv(spark, path, struct(a="long", b="long"), split_above).collect()
 
 
+@whole_and_split
+@pytest.mark.parametrize(
+    "header", [",a,b", "a,a,b", 'a,a,a', '"a","b","c"', '"a, x","b ""q""",c', '"a\nx",b,c', "a,,"]
+)
+def test_column_names_match_pandas(spark, tmp_path, small_splits, split_above, header):
+    path = put(tmp_path, f"{header}\n1,2,3\n4,5,6\n".encode())
+    df = read_csv(spark, path, None, split_above)
+    frame = pd.read_csv(path + "/in.csv")
+    assert df.columns == list(frame.columns)
+    assert rows(df) == pandas_rows(frame)
+
+
+def test_file_without_names_fails(spark, tmp_path):
+    with pytest.raises(ValueError, match="no column names"):
+        read_csv(spark, put(tmp_path, b""))
+
+
 @whole_and_split
 def test_many_files(spark, tmp_path, small_splits, split_above):
     for i in range(5):
@@ -190,6 +208,18 @@ def test_many_files(spark, tmp_path, small_splits, split_above):
     )
 
 
+def test_large_text_takes_more_shuffle_partitions(spark, tmp_path, small_splits, monkeypatch):
+    path = put(tmp_path, ("id,a\n" + "".join(f'{i},"x\n{i}"\n' for i in range(200))).encode())
+    monkeypatch.setattr("silverlode.sources.split.BYTES_PER_PARTITION", 100)
+    monkeypatch.setattr("silverlode.sources.split.BROADCAST_BLOCKS", 0)
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        df = read_csv(spark, path, struct(id="long", a="string"), -1)
+        assert df.rdd.getNumPartitions() > 8
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+        found = rows(df)
+    assert found == sorted(((i, f"x\n{i}") for i in range(200)), key=repr)
+
+
 def test_missing_path_fails(spark, tmp_path):
     with pytest.raises(AnalysisException):
         read_csv(spark, str(tmp_path / "nowhere"), PARITY_SCHEMA)
