@@ -90,23 +90,24 @@ def _leaves_open(text: Column) -> Column:
     return last_field.rlike(r'^"[^"]*+$')
 
 
-def _with_open_after(df: DataFrame, partition: list[str], order: list[str]) -> DataFrame:
-    """Adds ``open_after``: whether a quoted field is open after this row, if none is at the start.
+def _with_open_before(df: DataFrame, partition: list[str], order: list[str]) -> DataFrame:
+    """Adds ``open_before``: whether a quoted field is open before this row, if none is at the start.
 
     An effect either fixes the state (``opens`` equals ``stays``), flips it, or leaves it. So the
     state follows from the last row that fixed it and the number of flips since.
     """
-    w = W.partitionBy(*partition).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    fixes = F.col("opens") == F.col("stays")
-    flips = (F.col("opens") & ~F.col("stays")).cast("int")
-    state = F.when(
-        F.col("fixed").isNull(), F.col("flips")
-    ).otherwise(F.col("fixed.opens").cast("int") + F.col("flips") - F.col("fixed.flips"))
+    w = W.partitionBy(*partition).orderBy(*order)
+    before, through = w.rowsBetween(W.unboundedPreceding, -1), w.rowsBetween(W.unboundedPreceding, 0)
+    flip = (F.col("opens") & ~F.col("stays")).cast("int")
+    fixed = F.when(F.col("opens") == F.col("stays"), F.struct(F.col("opens").cast("int").alias("to"), "flips_through"))
     return (
-        df.withColumn("flips", F.sum(flips).over(w))
-        .withColumn("fixed", F.last(F.when(fixes, F.struct("opens", "flips")), ignorenulls=True).over(w))
-        .withColumn("open_after", state % 2 == 1)
-        .drop("flips", "fixed")
+        df.withColumns({"flips": F.coalesce(F.sum(flip).over(before), F.lit(0)), "flips_through": F.sum(flip).over(through)})
+        .withColumn("fixed", F.last(fixed, ignorenulls=True).over(before))
+        .withColumn(
+            "open_before",
+            F.coalesce(F.col("fixed.to") + F.col("flips") - F.col("fixed.flips_through"), F.col("flips")) % 2 == 1,
+        )
+        .drop("flips", "flips_through", "fixed")
     )
 
 
@@ -132,15 +133,12 @@ def _staged_heads(spark: SparkSession, lines: DataFrame, partitions: int | None)
         F.aggregate(F.array_sort(F.collect_list(changes)), nothing, then).alias("effect"),
         F.max("line").alias("last_line"),
     )
-    in_file = W.partitionBy("file").orderBy("block")
-    begins_open = F.lag("open_after", 1, False).over(in_file)
-    has_start = ~F.col("begins_open") | (F.col("closes") < F.col("last_line"))
-    home = F.last(F.when(has_start, F.col("block")), ignorenulls=True).over(in_file.rowsBetween(W.unboundedPreceding, -1))
+    earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    has_start = ~F.col("open_before") | (F.col("closes") < F.col("last_line"))
     heads = (
-        _with_open_after(blocks.select("file", "block", "effect.*", "last_line"), ["file"], ["block"])
-        .withColumn("begins_open", begins_open)
-        .withColumn("home", home)
-        .where("begins_open")
+        _with_open_before(blocks.select("file", "block", "effect.*", "last_line"), ["file"], ["block"])
+        .withColumn("home", F.last(F.when(has_start, F.col("block")), ignorenulls=True).over(earlier))
+        .where("open_before")
         .select("file", "block", "home", F.coalesce("closes", "last_line").alias("head_end"))
     )
     with session_settings(spark, {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}):
@@ -155,15 +153,14 @@ def _records(lines: DataFrame, heads: DataFrame, partitions: int | None) -> Data
     moved = lines.join(heads, ["file", "block"], "left").withColumn("own_block", own).drop("home", "head_end")
     if partitions:
         moved = moved.repartition(partitions, "file", "own_block")
-    in_block = W.partitionBy("file", "own_block").orderBy(*place)
-    parts = F.array_sort(F.collect_list(F.struct(*place, "value")))
+    so_far = W.partitionBy("file", "own_block").orderBy(*place).rowsBetween(W.unboundedPreceding, 0)
+    joined = F.expr("listagg(value, '\n') WITHIN GROUP (ORDER BY block, line)")
     return (
-        _with_open_after(moved, ["file", "own_block"], place)
-        .withColumn("starts", ~F.lag("open_after", 1, False).over(in_block))
-        .where(~F.col("starts") | ~F.col("value").rlike(_BLANK))
-        .withColumn("record", F.sum(F.col("starts").cast("int")).over(in_block.rowsBetween(W.unboundedPreceding, 0)))
+        _with_open_before(moved, ["file", "own_block"], place)
+        .where(F.col("open_before") | ~F.col("value").rlike(_BLANK))
+        .withColumn("record", F.sum((~F.col("open_before")).cast("int")).over(so_far))
         .groupBy("file", "own_block", "record")
-        .agg(F.concat_ws("\n", F.transform(parts, lambda part: part["value"])).alias("text"))
+        .agg(joined.alias("text"))
         .select(
             ((F.col("own_block") == 0) & (F.col("record") == 1)).alias("is_header"),
             F.regexp_replace("text", r"\r\z", "").alias("text"),
