@@ -59,6 +59,8 @@ def _header(spark: SparkSession, path: str) -> tuple[list[str], bool]:
     line = first["value"] if first else ""
     if line.count('"') % 2:  # a name goes on in the next line
         header = spark.read.options(**CSV_FORMAT).csv(path, header=True, multiLine=True).columns
+    elif "\r" in line.removesuffix("\r"):
+        raise ValueError(f"{path}: lines that end in a carriage return alone are not read")
     else:
         header = next(csv.reader([line.removesuffix("\r").removeprefix("\ufeff")]), [])
     if not header:

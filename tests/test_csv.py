@@ -196,6 +196,8 @@ def test_column_names_match_pandas(spark, tmp_path, small_splits, split_above, h
 def test_file_without_names_fails(spark, tmp_path):
     with pytest.raises(ValueError, match="no column names"):
         read_csv(spark, put(tmp_path, b""))
+    with pytest.raises(ValueError, match="carriage return"):
+        read_csv(spark, put(tmp_path, b"a,b\r1,2\r"))
 
 
 @whole_and_split

@@ -4,6 +4,7 @@ import pytest
 from compare import assert_same, connect
 
 import __spark_entry__ as contract
+from silverlode.testing import fixtures
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,14 @@ def test_query(spark, con, sf_dir, name):
     assert assert_same(contract.queries()[name](spark, sf_dir), con, contract.oracle_sql()[name]) > 0
 
 
+def test_every_silver_table_of_the_pipeline(spark, con, sf_dir):
+    """From CSV files through Bronze, each Silver table is what the parent rows say."""
+    path, written = contract._pipeline(spark, sf_dir)
+    for name in written:
+        sql = fixtures.movies_sql("movie_id") if name == "movies" else fixtures.elements_sql(name)
+        assert assert_same(spark.read.parquet(f"{path}/{name}"), con, sql) > 0
+
+
 def test_entry(spark, sf_dir):
     df = contract.entry(spark)
     assert df.columns == ["movie_id", "title", "id", "name", "department", "job", "credit_id"]
