@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 
 from silverlode.model import BRONZE, JSON_TABLES, MOVIES_SILVER
 from silverlode.operators import core_movies, normalize
-from silverlode.session import session_settings
+from silverlode.session import Scratch, session_settings
 from silverlode.sinks import ROWS_PER_FILE, write_bronze, write_silver
 from silverlode.sources import read_csv, scan_bronze
 
@@ -25,7 +25,11 @@ def ingest(
     mode: str = "overwrite",
 ) -> None:
     """Load CSV files into a Bronze table, typed by ``schema`` or, without one, by the data."""
-    write_bronze(read_csv(spark, csv_path, schema), bronze_path, rows_per_file, mode)
+    scratch = Scratch(spark)
+    try:
+        write_bronze(read_csv(spark, csv_path, schema, scratch=scratch), bronze_path, rows_per_file, mode)
+    finally:
+        scratch.clear()
 
 
 def silver_tables(bronze: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, StructType]]:

@@ -57,6 +57,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/silverlode/{uuid.uuid4().hex}/{name}"
 
 
+class Scratch:
+    """Tables that a job writes down on its way, in the shared folder, until it is done."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self._folder = scratch_path(spark, "tables")
+        self._used = False
+
+    def path(self, name: str) -> str:
+        self._used = True
+        return f"{self._folder}/{name}"
+
+    def clear(self) -> None:
+        """Delete the tables: an overwrite of the folder leaves one empty table."""
+        if self._used:
+            self._spark.range(0).write.mode("overwrite").parquet(self._folder)
+
+
 @contextmanager
 def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     """Apply runtime settings for the length of a block."""

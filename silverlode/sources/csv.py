@@ -19,6 +19,7 @@ from pyspark.sql.types import (
 
 from silverlode.functions import blank_null_words, quoted, typed
 from silverlode.functions.text import FALSE_WORDS, INTEGER_TEXT, NUMBER_TEXT, TRUE_WORDS
+from silverlode.session import Scratch
 from silverlode.sources.split import CSV_FORMAT, RECORD, split_records
 
 # A file up to this size is one task's work, of seconds to a minute; a larger one is read in
@@ -27,7 +28,11 @@ SPLIT_ABOVE = 2 * 1024 * 1024 * 1024
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType | None = None, split_above: int = SPLIT_ABOVE
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    split_above: int = SPLIT_ABOVE,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """CSV files with a header, quoted fields that may span lines, and null words.
 
@@ -35,11 +40,12 @@ def read_csv(
     the declared type becomes null. Without one, all columns are kept and their types are found in
     one pass over the data. A record shorter than the header is padded with nulls, a longer one
     fails the job, and blank lines are skipped. The files under ``path`` must have the same header
-    and the same line ends. Files larger than ``split_above`` bytes are read in parallel pieces.
+    and the same line ends. Files larger than ``split_above`` bytes are read in parallel pieces;
+    the result then reads tables in ``scratch``, which the caller may clear when done with it.
     """
     header, cr_lf = _header(spark, path)
     if cr_lf or _has_file_above(spark, path, split_above):
-        raw = split_records(spark, path, header)
+        raw = split_records(spark, path, header, scratch or Scratch(spark))
     else:
         raw = _whole_files(spark, path, header)
     names = _column_names(header)

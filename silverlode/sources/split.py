@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from silverlode.session import scratch_path, session_settings
+from silverlode.session import Scratch, session_settings
 
 CSV_FORMAT = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
 
@@ -32,11 +32,11 @@ BYTES_PER_PARTITION = 1024 * 1024 * 1024
 _BLANK = r"^[ \t\r]*$"
 
 
-def split_records(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
+def split_records(spark: SparkSession, path: str, header: list[str], scratch: Scratch) -> DataFrame:
     """All records as one string column per cell of the header, plus ``RECORD``; headers left out."""
     partitions = _partitions(spark, path)
-    lines = _staged_lines(spark, path)
-    records = _records(lines, _staged_heads(spark, lines, partitions), partitions)
+    lines = _staged_lines(spark, path, scratch)
+    records = _records(lines, _staged_heads(spark, lines, partitions, scratch), partitions)
     cells = [f"_c{i}" for i in range(len(header))]
     schema = ", ".join(f"{name} STRING" for name in [*cells, RECORD])
     options = {"quote": CSV_FORMAT["quote"], "escape": CSV_FORMAT["escape"], "columnNameOfCorruptRecord": RECORD}
@@ -52,7 +52,7 @@ def _partitions(spark: SparkSession, path: str) -> int | None:
     return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
 
 
-def _staged_lines(spark: SparkSession, path: str) -> DataFrame:
+def _staged_lines(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
     """Every line with its place and effect, as a table in the shared folder.
 
     Block bounds and line numbers come from the way this one scan was planned. Writing them down
@@ -70,11 +70,10 @@ def _staged_lines(spark: SparkSession, path: str) -> DataFrame:
         .withColumn("opens", F.when(has_quote, _leaves_open(F.col("value"))).otherwise(False))
         .withColumn("stays", F.when(has_quote, _leaves_open(F.concat(F.lit('"'), "value"))).otherwise(True))
     )
-    return _staged(spark, lines, "lines")
+    return _staged(spark, lines, scratch.path("lines"))
 
 
-def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(spark, name)
+def _staged(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 
@@ -111,7 +110,7 @@ def _with_open_before(df: DataFrame, partition: list[str], order: list[str]) ->
     )
 
 
-def _staged_heads(spark: SparkSession, lines: DataFrame, partitions: int | None) -> DataFrame:
+def _staged_heads(spark: SparkSession, lines: DataFrame, partitions: int | None, scratch: Scratch) -> DataFrame:
     """Blocks that begin inside a record: the head's last line, and the block it belongs to.
 
     Only lines that change the state are collected, a few bytes each, and a group is one block.
@@ -142,7 +141,7 @@ def _staged_heads(spark: SparkSession, lines: DataFrame, partitions: int | None)
         .select("file", "block", "home", F.coalesce("closes", "last_line").alias("head_end"))
     )
     with session_settings(spark, {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}):
-        staged = _staged(spark, heads, "heads")
+        staged = _staged(spark, heads, scratch.path("heads"))
     return F.broadcast(staged) if staged.count() <= BROADCAST_BLOCKS else staged
 
 
