@@ -133,20 +133,21 @@ def infer_schema(text: DataFrame) -> StructType:
     """The narrowest type that holds every value of each all-text column, in one aggregation.
 
     Whole numbers without gaps are bigint, any other numbers double (also an all-null column),
-    true/false words boolean, and the rest string. Whole numbers past bigint are decimal(20,0) if
-    they fit 64 unsigned bits.
+    true/false words boolean, and the rest string, as is a number too large for a double. Whole
+    numbers past bigint are decimal(20,0) if they fit 64 unsigned bits.
     """
     measures = []
     for i, name in enumerate(text.columns):
         c = F.col(quoted(name))
         whole = c.rlike(INTEGER_TEXT)
         wide = F.when(whole, F.trim(c)).try_cast("decimal(20,0)")
+        overflows = F.abs(c.try_cast("double")) == F.lit(float("inf"))
         measures += [
             F.count(c).alias(f"values_{i}"),
             F.count_if(whole).alias(f"whole_{i}"),
             F.count_if(whole & c.try_cast("bigint").isNotNull()).alias(f"bigint_{i}"),
             F.count_if(wide.between(0, F.lit(str(2**64 - 1)).cast("decimal(20,0)"))).alias(f"unsigned_{i}"),
-            F.count_if(c.rlike(NUMBER_TEXT)).alias(f"number_{i}"),
+            F.count_if(c.rlike(NUMBER_TEXT) & (c.rlike("(?i)inf") | ~overflows)).alias(f"number_{i}"),
             F.count_if(c.isin(*TRUE_WORDS, *FALSE_WORDS)).alias(f"boolean_{i}"),
         ]
     seen = text.agg(F.count(F.lit(1)).alias("rows"), *measures).first().asDict()

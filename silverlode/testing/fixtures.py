@@ -40,7 +40,7 @@ ELEMENTS = {
             "department": "o_orderstatus",
             "credit_id": "CASE WHEN i = 1 THEN NULL ELSE concat('c', o_custkey, '-', i) END",
             "gender": "i % 3",
-            "id": "CASE WHEN i = 5 AND o_orderkey % 7 = 0 THEN 3000000000 ELSE o_custkey * 10 END + i",
+            "id": "o_custkey * 10 + i",
             "name": "concat('P \"', o_custkey, '\" é', chr(10), i)",
             "job": "o_orderpriority",
         },
@@ -52,7 +52,7 @@ ELEMENTS = {
             "cast_id": "i",
             "character": "CASE WHEN i = 3 THEN NULL ELSE concat(o_orderstatus, ', ', i) END",
             "credit_id": "CASE WHEN (o_orderkey + i) % 5 = 0 THEN NULL ELSE concat('c', o_custkey) END",
-            "gender": "CASE WHEN i = 2 THEN NULL ELSE i % 3 END",
+            "gender": "i % 3",
             "id": "o_custkey + i",
             "name": "o_orderpriority",
             "order": "i - 1",

@@ -77,6 +77,7 @@ FOUND = {
     "points": (["1", "2.5", ".5"], "double"),
     "exponents": (["1e3", "-2E-2", "7"], "double"),
     "infinite": (["inf", "-inf", "Infinity"], "double"),
+    "too large": (["1e400", "2", "3"], "string"),
     "java only": (["1d", "2", "0x1p3"], "string"),
     "all null": (["", "NA", "null"], "double"),
     "booleans": (["True", "false", "TRUE"], "boolean"),

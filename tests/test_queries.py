@@ -1,9 +1,12 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+from dataclasses import replace
+
 import pytest
 from compare import assert_same, connect
 
 import __spark_entry__ as contract
+from silverlode import JSON_TABLES, normalize
 from silverlode.testing import fixtures
 
 
@@ -21,6 +24,12 @@ def test_query(spark, con, sf_dir, name):
     assert assert_same(contract.queries()[name](spark, sf_dir), con, contract.oracle_sql()[name]) > 0
 
 
+def test_unnesting_keeps_null_numbers(spark, con, sf_dir):
+    rows = normalize(fixtures.bronze(spark, sf_dir, "movies"), replace(JSON_TABLES["genre"], fill={}))
+    assert assert_same(rows, con, fixtures.elements_sql("genre", fill=False)) > 0
+    assert rows.where("id is null").count() > 0
+
+
 def test_every_silver_table_of_the_pipeline(spark, con, sf_dir):
     """From CSV files through Bronze, each Silver table is what the parent rows say."""
     path, written = contract._pipeline(spark, sf_dir)
