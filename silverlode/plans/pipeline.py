@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -15,6 +17,8 @@ from silverlode.sources import read_csv, scan_bronze
 # Larger splits mean fewer, fuller tasks and output files; small inputs still spread over all cores.
 SCAN_SETTINGS = {"spark.sql.files.maxPartitionBytes": "512m"}
 
+JOBS_AT_ONCE = 4
+
 
 def ingest(
     spark: SparkSession,
@@ -49,21 +53,24 @@ def _json_table(bronze: dict[str, DataFrame], name: str) -> tuple[DataFrame, Str
 
 
 def build_silver(spark: SparkSession, bronze_path: str, silver_path: str, fmt: str | None = None) -> list[str]:
-    """Overwrite all Silver tables and return their names in the order written.
+    """Overwrite all Silver tables and return their names.
 
-    Each table is its own map-only job over its own columns, so nothing is cached. There is no
-    commit across tables: if one fails, the error carries a note of those already written.
+    Each table is its own map-only job over its own columns, so nothing is cached. A few jobs run at
+    a time, so that one's last tasks do not leave the cluster idle. There is no commit across
+    tables: if one fails, the error carries a note of those that were written.
     """
     bronze = {name: scan_bronze(spark, f"{bronze_path}/{name}", schema) for name, schema in BRONZE.items()}
-    written: list[str] = []
-    with session_settings(spark, SCAN_SETTINGS):
-        for name, (df, schema) in silver_tables(bronze).items():
-            try:
-                write_silver(df, f"{silver_path}/{name}", schema, fmt)
-            except Exception as error:
-                error.add_note(f"Silver tables written before the failure of {name}: {written}")
-                raise
-            written.append(name)
+    tables = silver_tables(bronze)
+    with session_settings(spark, SCAN_SETTINGS), ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        jobs = {
+            name: pool.submit(write_silver, df, f"{silver_path}/{name}", schema, fmt)
+            for name, (df, schema) in tables.items()
+        }
+    failed = {name: job.exception() for name, job in jobs.items() if job.exception()}
+    written = [name for name in jobs if name not in failed]
+    for error in failed.values():
+        error.add_note(f"Silver tables not written: {list(failed)}; written: {written}")
+        raise error
     return written
 
 

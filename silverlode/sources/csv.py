@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import csv
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -26,6 +26,11 @@ from silverlode.sources.split import CSV_FORMAT, RECORD, split_records
 # parallel pieces. That takes more work per byte, so it is not the way for small files.
 SPLIT_ABOVE = 2 * 1024 * 1024 * 1024
 
+# Text that is worth a task of its own once it is parsed.
+SPREAD_BYTES = 8 * 1024 * 1024
+
+_ROW = "_row"
+
 
 def read_csv(
     spark: SparkSession,
@@ -44,10 +49,11 @@ def read_csv(
     the result then reads tables in ``scratch``, which the caller may clear when done with it.
     """
     header, cr_lf = _header(spark, path)
-    if cr_lf or _has_file_above(spark, path, split_above):
-        raw = split_records(spark, path, header, scratch or Scratch(spark))
+    sizes = _file_sizes(spark, path)
+    if cr_lf or (sizes["largest"] or 0) > split_above:
+        raw = split_records(spark, path, header, sizes["total"] or 0, scratch or Scratch(spark))
     else:
-        raw = _whole_files(spark, path, header)
+        raw = _spread(_whole_files(spark, path, header), sizes["files"], sizes["total"] or 0)
     names = _column_names(header)
     records = raw.toDF(*names, RECORD).where(_is_record(names))
     text = records.select(*[blank_null_words(n) for n in names])
@@ -87,9 +93,26 @@ def _column_names(header: list[str]) -> list[str]:
     return names
 
 
-def _has_file_above(spark: SparkSession, path: str, size: int) -> bool:
-    """Whether any file has more than ``size`` bytes, from the file listing alone."""
-    return not spark.read.format("binaryFile").load(path).where(F.col("length") > size).select("length").isEmpty()
+def _file_sizes(spark: SparkSession, path: str) -> Row:
+    """Number of files, bytes of the largest and of all, from the file listing alone."""
+    length = F.col("length")
+    return (
+        spark.read.format("binaryFile")
+        .load(path)
+        .agg(F.count(length).alias("files"), F.max(length).alias("largest"), F.sum(length).alias("total"))
+        .first()
+    )
+
+
+def _spread(raw: DataFrame, files: int, size: int) -> DataFrame:
+    """Shares the records of few, sizeable files among all cores, where that gives four times the tasks.
+
+    Otherwise there is no shuffle. Records go by their number in the file, which is the same when a lost task is run again.
+    """
+    partitions = min(raw.sparkSession.sparkContext.defaultParallelism, size // SPREAD_BYTES + 1)
+    if partitions < 4 * files:
+        return raw
+    return raw.withColumn(_ROW, F.monotonically_increasing_id()).repartition(partitions, _ROW).drop(_ROW)
 
 
 def _whole_files(spark: SparkSession, path: str, header: list[str]) -> DataFrame:

@@ -32,9 +32,14 @@ BYTES_PER_PARTITION = 1024 * 1024 * 1024
 _BLANK = r"^[ \t\r]*$"
 
 
-def split_records(spark: SparkSession, path: str, header: list[str], scratch: Scratch) -> DataFrame:
-    """All records as one string column per cell of the header, plus ``RECORD``; headers left out."""
-    partitions = _partitions(spark, path)
+def split_records(spark: SparkSession, path: str, header: list[str], size: int, scratch: Scratch) -> DataFrame:
+    """All records as one string column per cell of the header, plus ``RECORD``; headers left out.
+
+    ``size`` is that of all files together, in bytes.
+    """
+    partitions = size // BYTES_PER_PARTITION + 1
+    if partitions <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        partitions = None
     lines = _staged_lines(spark, path, scratch)
     records = _records(lines, _staged_heads(spark, lines, partitions, scratch), partitions)
     cells = [f"_c{i}" for i in range(len(header))]
@@ -45,13 +50,6 @@ def split_records(spark: SparkSession, path: str, header: list[str], scratch: Sc
     return parsed.where(_is_data(cells, header)).select(*cells, RECORD)
 
 
-def _partitions(spark: SparkSession, path: str) -> int | None:
-    """Shuffle partitions for the text under ``path``, if it needs more than the session gives."""
-    size = spark.read.format("binaryFile").load(path).agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
-    wanted = size // BYTES_PER_PARTITION + 1
-    return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
-
-
 def _staged_lines(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
     """Every line with its place and effect, as a table in the shared folder.
 
