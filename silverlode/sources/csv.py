@@ -105,9 +105,10 @@ def _file_sizes(spark: SparkSession, path: str) -> Row:
 
 
 def _spread(raw: DataFrame, files: int, size: int) -> DataFrame:
-    """Shares the records of few, sizeable files among all cores, where that gives four times the tasks.
+    """Shares the records of few, sizeable files among all cores, if that gives four times the tasks.
 
-    Otherwise there is no shuffle. Records go by their number in the file, which is the same when a lost task is run again.
+    Otherwise there is no shuffle. Records go by their number in the input, which stays the same
+    when a lost task is run again.
     """
     partitions = min(raw.sparkSession.sparkContext.defaultParallelism, size // SPREAD_BYTES + 1)
     if partitions < 4 * files:
