@@ -44,16 +44,17 @@ def read_csv(
     With a ``schema``, its columns are taken from the file by name and cast; text that is not of
     the declared type becomes null. Without one, all columns are kept and their types are found in
     one pass over the data. A record shorter than the header is padded with nulls, a longer one
-    fails the job, and blank lines are skipped. The files under ``path`` must have the same header
-    and the same line ends. Files larger than ``split_above`` bytes are read in parallel pieces;
-    the result then reads tables in ``scratch``, which the caller may clear when done with it.
+    fails the job, as does a quoted field that is never closed; blank lines are skipped. The files
+    under ``path`` must have the same header. Files larger than ``split_above`` bytes are read in
+    parallel pieces; the result then reads tables in ``scratch``, which the caller may clear when
+    done with it.
     """
-    header, cr_lf = _header(spark, path)
-    sizes = _file_sizes(spark, path)
-    if cr_lf or (sizes["largest"] or 0) > split_above:
-        raw = split_records(spark, path, header, sizes["total"] or 0, scratch or Scratch(spark))
+    header = _header(spark, path)
+    found = _look_over(spark, path)
+    if found["largest"] > split_above or found["cr_lf"] or found["odd_quotes"]:
+        raw = split_records(spark, path, header, found["total"], scratch or Scratch(spark))
     else:
-        raw = _spread(_whole_files(spark, path, header), sizes["files"], sizes["total"] or 0)
+        raw = _spread(_whole_files(spark, path, header), found["files"], found["total"])
     names = _column_names(header)
     records = raw.toDF(*names, RECORD).where(_is_record(names))
     text = records.select(*[blank_null_words(n) for n in names])
@@ -62,11 +63,8 @@ def read_csv(
     return text.select(*[typed(F.col(quoted(f.name)), f.dataType).alias(f.name) for f in schema])
 
 
-def _header(spark: SparkSession, path: str) -> tuple[list[str], bool]:
-    """The cells of the first record of one file, and whether its lines end in CR LF.
-
-    With such line ends, reading whole files would lose the carriage returns in quoted fields.
-    """
+def _header(spark: SparkSession, path: str) -> list[str]:
+    """The cells of the first record of one file."""
     first = spark.read.text(path, lineSep="\n").where(~F.col("value").rlike(r"^[ \t\r]*$")).first()
     line = first["value"] if first else ""
     if line.count('"') % 2:  # a name goes on in the next line
@@ -77,7 +75,7 @@ def _header(spark: SparkSession, path: str) -> tuple[list[str], bool]:
         header = next(csv.reader([line.removesuffix("\r").removeprefix("\ufeff")]), [])
     if not header:
         raise ValueError(f"{path}: the first line holds no column names")
-    return header, line.endswith("\r")
+    return header
 
 
 def _column_names(header: list[str]) -> list[str]:
@@ -93,15 +91,30 @@ def _column_names(header: list[str]) -> list[str]:
     return names
 
 
-def _file_sizes(spark: SparkSession, path: str) -> Row:
-    """Number of files, bytes of the largest and of all, from the file listing alone."""
-    length = F.col("length")
-    return (
-        spark.read.format("binaryFile")
-        .load(path)
-        .agg(F.count(length).alias("files"), F.max(length).alias("largest"), F.sum(length).alias("total"))
-        .first()
+def _look_over(spark: SparkSession, path: str) -> Row:
+    """File sizes, and whether any file needs more care than a task reading it from end to end gives.
+
+    Such a task would lose the carriage returns of line ends inside quoted fields, and would take
+    the rest of a file for the value of a field that is never closed. The latter can be ruled out
+    by an even number of quotes. This pass is far cheaper than a parse and splits any file.
+    """
+    text = F.col("value")
+    by_file = (
+        spark.read.text(path, lineSep="\n")
+        .groupBy("_metadata.file_path")
+        .agg(
+            F.max("_metadata.file_size").alias("size"),
+            F.max(text.endswith("\r")).alias("cr_lf"),
+            (F.sum(F.octet_length(text) - F.octet_length(F.replace(text, F.lit('"')))) % 2 == 1).alias("odd_quotes"),
+        )
     )
+    return by_file.agg(
+        F.count("size").alias("files"),
+        F.max("size").alias("largest"),
+        F.sum("size").alias("total"),
+        F.max("cr_lf").alias("cr_lf"),
+        F.max("odd_quotes").alias("odd_quotes"),
+    ).first()
 
 
 def _spread(raw: DataFrame, files: int, size: int) -> DataFrame:

@@ -132,15 +132,20 @@ def _staged_heads(spark: SparkSession, lines: DataFrame, partitions: int | None,
     )
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     has_start = ~F.col("open_before") | (F.col("closes") < F.col("last_line"))
-    heads = (
+    states = (
         _with_open_before(blocks.select("file", "block", "effect.*", "last_line"), ["file"], ["block"])
         .withColumn("home", F.last(F.when(has_start, F.col("block")), ignorenulls=True).over(earlier))
-        .where("open_before")
-        .select("file", "block", "home", F.coalesce("closes", "last_line").alias("head_end"))
+        .withColumn("head_end", F.coalesce("closes", "last_line"))
+        .withColumn("open_after", F.when(F.col("open_before"), F.col("stays")).otherwise(F.col("opens")))
+        .select("file", "block", "home", "head_end", "open_before", "open_after")
     )
     with session_settings(spark, {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}):
-        staged = _staged(spark, heads, scratch.path("heads"))
-    return F.broadcast(staged) if staged.count() <= BROADCAST_BLOCKS else staged
+        staged = _staged(spark, states, scratch.path("blocks"))
+    unclosed = staged.groupBy("file").agg(F.max_by("open_after", "block").alias("open")).where("open").first()
+    if unclosed:
+        raise ValueError(f"{unclosed['file']}: a quoted field is never closed")
+    heads = staged.where("open_before").select("file", "block", "home", "head_end")
+    return F.broadcast(heads) if heads.count() <= BROADCAST_BLOCKS else heads
 
 
 def _records(lines: DataFrame, heads: DataFrame, partitions: int | None) -> DataFrame:

@@ -150,6 +150,34 @@ def test_long_record_fails_as_in_pandas(spark, tmp_path, small_splits, split_abo
         read_csv(spark, path, struct(id="long", a="string"), split_above).select("id").collect()
 
 
+@whole_and_split
+@pytest.mark.parametrize(
+    "end", ['2,"open,z\n3,p,q\n', '2,w,"open\n3,p,q\n4,p,q\n', '1,x,"y""\n2,w,z\n', '2,w,"', '2,"w"",z\n']
+)
+def test_unclosed_quote_fails_as_in_pandas(spark, tmp_path, small_splits, split_above, end):
+    put(tmp_path, b'id,a,b\n1,"x\ny",z\n', "good.csv")
+    path = put(tmp_path, f"id,a,b\n1,x,y\n{end}".encode(), "bad.csv")
+    with pytest.raises(pd.errors.ParserError, match="EOF inside string"):
+        pd.read_csv(path + "/bad.csv")
+    with pytest.raises(ValueError, match="bad.csv: a quoted field is never closed"):
+        read_csv(spark, path, struct(id="long", a="string"), split_above)
+
+
+@whole_and_split
+def test_stray_quotes_are_text(spark, tmp_path, small_splits, split_above):
+    path = put(tmp_path, b'id,a,b\n1,5" disk,"x\ny"\n2,it"s,z\n3,plain,"last"\n')
+    found = rows(read_csv(spark, path, struct(id="long", a="string", b="string"), split_above))
+    assert found == pandas_rows(pd.read_csv(path + "/in.csv"))
+
+
+@whole_and_split
+def test_line_ends_may_differ(spark, tmp_path, small_splits, split_above):
+    put(tmp_path, b'id,a\n1,"p\r\nq"\n2,"r\ns"\n', "one.csv")
+    path = put(tmp_path, b'id,a\r\n3,"p\r\nq"\r\n4,t\n', "two.csv")
+    found = rows(read_csv(spark, path, struct(id="long", a="string"), split_above))
+    assert found == [(1, "p\r\nq"), (2, "r\ns"), (3, "p\r\nq"), (4, "t")]
+
+
 @whole_and_split
 def test_windows_line_ends(spark, tmp_path, small_splits, split_above):
     data = b'id,a,b\r\n1,"x\r\ny",2\r\n2,"p\nq",3\r\n\r\n3,"",4\r\n'
