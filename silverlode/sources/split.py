@@ -98,7 +98,8 @@ def _with_open_before(df: DataFrame, partition: list[str], order: list[str]) ->
     flip = (F.col("opens") & ~F.col("stays")).cast("int")
     fixed = F.when(F.col("opens") == F.col("stays"), F.struct(F.col("opens").cast("int").alias("to"), "flips_through"))
     return (
-        df.withColumns({"flips": F.coalesce(F.sum(flip).over(before), F.lit(0)), "flips_through": F.sum(flip).over(through)})
+        df.withColumn("flips", F.coalesce(F.sum(flip).over(before), F.lit(0)))
+        .withColumn("flips_through", F.sum(flip).over(through))
         .withColumn("fixed", F.last(fixed, ignorenulls=True).over(before))
         .withColumn(
             "open_before",

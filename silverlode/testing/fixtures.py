@@ -66,7 +66,10 @@ ELEMENTS = {
     "keywords": Elements(
         absent="p_size = 13",
         size="p_size",
-        fields={"id": "CASE WHEN i = 9 AND p_partkey % 5 = 0 THEN 3000000000 ELSE p_partkey * 100 END + i", "name": "concat(p_name, ' ', i)"},
+        fields={
+            "id": "CASE WHEN i = 9 AND p_partkey % 5 = 0 THEN 3000000000 ELSE p_partkey * 100 END + i",
+            "name": "concat(p_name, ' ', i)",
+        },
     ),
     "production_companies": Elements(
         absent="p_partkey % 17 = 0",

@@ -72,7 +72,8 @@ def test_same_rows_as_explode_of_the_whole_element_type(spark):
         "[]",
         None,
     ]
-    df = spark.createDataFrame([(i, "t", d) for i, d in enumerate(documents)], "movie_id long, title string, crew string")
+    data = [(i, "t", d) for i, d in enumerate(documents)]
+    df = spark.createDataFrame(data, "movie_id long, title string, crew string")
     item = F.explode(F.from_json("crew", ArrayType(crew.element)))
     exploded = df.select("movie_id", "title", item.alias("item")).select(
         "movie_id", "title", *[F.col(f"item.{f}") for f in crew.fields]
@@ -96,7 +97,8 @@ element = st.one_of(
 @settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
 def test_any_elements(spark, arrays):
     """One row per element, in any order, with the fields as written."""
-    table = JsonTable("t", "s", "doc", struct(gender="integer", id="integer", name="string"), {"k": "k"}, ("id", "name"))
+    whole = struct(gender="integer", id="integer", name="string")
+    table = JsonTable("t", "s", "doc", whole, {"k": "k"}, ("id", "name"))
     df = spark.createDataFrame([(i, json.dumps(a)) for i, a in enumerate(arrays)], "k long, doc string")
 
     def kept(e):
