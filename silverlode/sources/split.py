@@ -112,29 +112,27 @@ def _with_open_before(df: DataFrame, partition: list[str], order: list[str]) ->
 def _staged_heads(spark: SparkSession, lines: DataFrame, partitions: int | None, scratch: Scratch) -> DataFrame:
     """Blocks that begin inside a record: the head's last line, and the block it belongs to.
 
-    Only lines that change the state are collected, a few bytes each, and a group is one block.
+    Only lines that change the state are collected, as one number each, and a group is one block.
     """
-    changes = F.when(F.col("opens") | ~F.col("stays"), F.struct("line", "opens", "stays"))
-    nothing = F.struct(
-        F.lit(False).alias("opens"), F.lit(True).alias("stays"), F.lit(None).cast("long").alias("closes")
-    )
+    packed = F.col("line") * 4 + F.col("opens").cast("int") * 2 + F.col("stays").cast("int")
+    changes = F.array_sort(F.collect_list(F.when(F.col("opens") | ~F.col("stays"), packed)))
 
     def then(so_far: Column, line: Column) -> Column:
-        stays = F.when(so_far["stays"], line["stays"]).otherwise(line["opens"])
+        opens, stays = line.bitwiseAND(2) > 0, line.bitwiseAND(1) > 0
         return F.struct(
-            F.when(so_far["opens"], line["stays"]).otherwise(line["opens"]).alias("opens"),
-            stays.alias("stays"),
-            F.coalesce(so_far["closes"], F.when(~stays, line["line"])).alias("closes"),
+            F.when(so_far["opens"], stays).otherwise(opens).alias("opens"),
+            F.when(so_far["stays"], stays).otherwise(opens).alias("stays"),
         )
 
     blocks = lines.groupBy("file", "block").agg(
-        F.aggregate(F.array_sort(F.collect_list(changes)), nothing, then).alias("effect"),
+        F.aggregate(changes, F.struct(F.lit(False).alias("opens"), F.lit(True).alias("stays")), then).alias("effect"),
+        F.min(F.when(~F.col("stays"), F.col("line"))).alias("closes"),
         F.max("line").alias("last_line"),
     )
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     has_start = ~F.col("open_before") | (F.col("closes") < F.col("last_line"))
     states = (
-        _with_open_before(blocks.select("file", "block", "effect.*", "last_line"), ["file"], ["block"])
+        _with_open_before(blocks.select("file", "block", "effect.*", "closes", "last_line"), ["file"], ["block"])
         .withColumn("home", F.last(F.when(has_start, F.col("block")), ignorenulls=True).over(earlier))
         .withColumn("head_end", F.coalesce("closes", "last_line"))
         .withColumn("open_after", F.when(F.col("open_before"), F.col("stays")).otherwise(F.col("opens")))
