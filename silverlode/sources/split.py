@@ -140,11 +140,15 @@ def _staged_heads(spark: SparkSession, lines: DataFrame, partitions: int | None,
     )
     with session_settings(spark, {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}):
         staged = _staged(spark, states, scratch.path("blocks"))
-    unclosed = staged.groupBy("file").agg(F.max_by("open_after", "block").alias("open")).where("open").first()
-    if unclosed:
-        raise ValueError(f"{unclosed['file']}: a quoted field is never closed")
+    files = staged.groupBy("file").agg(
+        F.max_by("open_after", "block").alias("unclosed"), F.count_if("open_before").alias("heads")
+    )
+    unclosed = F.when(F.col("unclosed"), F.col("file"))
+    seen = files.agg(F.max(unclosed).alias("unclosed"), F.sum("heads").alias("heads")).first()
+    if seen["unclosed"]:
+        raise ValueError(f"{seen['unclosed']}: a quoted field is never closed")
     heads = staged.where("open_before").select("file", "block", "home", "head_end")
-    return F.broadcast(heads) if heads.count() <= BROADCAST_BLOCKS else heads
+    return F.broadcast(heads) if seen["heads"] <= BROADCAST_BLOCKS else heads
 
 
 def _records(lines: DataFrame, heads: DataFrame, partitions: int | None) -> DataFrame:
