@@ -4,7 +4,7 @@
     spark-submit lode.py silver   --bronze PATH --silver PATH [--format delta|parquet]
     spark-submit lode.py pipeline --movies PATH --credits PATH --bronze PATH --silver PATH [--format ...]
 
-Stores and table formats are set up with ``--conf`` on spark-submit.
+Stores, table formats and the shared folder (``spark.checkpoint.dir``) are set with ``--conf`` on spark-submit.
 """
 
 from __future__ import annotations
