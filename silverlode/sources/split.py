@@ -5,8 +5,8 @@ reduced to its *effect*: whether a quoted field is open after the line, given th
 before it (``opens``), and given that one was (``stays``). Effects compose, so those of a block's
 lines give the effect of the block, and those of a file's blocks tell how each block begins. Lines
 at the head of a block that finish a record begun earlier then move to the block where it began,
-and every block is cut into whole records on its own. No task holds more than a block of text and
-one record, however large the file.
+and every block is cut into whole records on its own. No group of lines is larger than a block of
+text and one record, however large the file.
 """
 
 from __future__ import annotations
