@@ -31,7 +31,7 @@ def ingest(
     """Load CSV files into a Bronze table, typed by ``schema`` or, without one, by the data."""
     scratch = Scratch(spark)
     try:
-        write_bronze(read_csv(spark, csv_path, schema, scratch=scratch), bronze_path, rows_per_file, mode)
+        write_bronze(read_csv(spark, csv_path, schema, scratch=scratch, spread=True), bronze_path, rows_per_file, mode)
     finally:
         scratch.clear()
 

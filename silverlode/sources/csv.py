@@ -38,6 +38,7 @@ def read_csv(
     schema: StructType | None = None,
     split_above: int = SPLIT_ABOVE,
     scratch: Scratch | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """CSV files with a header, quoted fields that may span lines, and null words.
 
@@ -47,14 +48,17 @@ def read_csv(
     fails the job, as does a quoted field that is never closed; blank lines are skipped. The files
     under ``path`` must have the same header. Files larger than ``split_above`` bytes are read in
     parallel pieces; the result then reads tables in ``scratch``, which the caller may clear when
-    done with it.
+    done with it. With ``spread``, records of a few smaller files are shared among all cores, which
+    is worth a shuffle where costly work such as a write follows.
     """
     header = _header(spark, path)
     found = _look_over(spark, path)
     if found["largest"] > split_above or found["cr_lf"] or found["odd_quotes"]:
         raw = split_records(spark, path, header, found["total"], scratch or Scratch(spark))
     else:
-        raw = _spread(_whole_files(spark, path, header), found["files"], found["total"])
+        raw = _whole_files(spark, path, header)
+        if spread:
+            raw = _spread(raw, found["files"], found["total"])
     names = _column_names(header)
     records = raw.toDF(*names, RECORD).where(_is_record(names))
     text = records.select(*[blank_null_words(n) for n in names])

@@ -242,16 +242,17 @@ def test_many_files(spark, tmp_path, small_splits, split_above):
 def test_few_files_are_spread_over_the_cores(spark, tmp_path, monkeypatch):
     one = put(tmp_path, ("id,a\n" + "".join(f'{i % 7},"x\n"\n' for i in range(100))).encode())
     schema = struct(id="long", a="string")
-    plain = read_csv(spark, one, schema)
+    plain = read_csv(spark, one, schema, spread=True)  # too little text
     assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
     monkeypatch.setattr("silverlode.sources.csv.SPREAD_BYTES", 1)
-    spread = read_csv(spark, one, schema)
+    assert "Exchange" not in read_csv(spark, one, schema)._jdf.queryExecution().executedPlan().toString()
+    spread = read_csv(spark, one, schema, spread=True)
     cores = spark.sparkContext.defaultParallelism
     assert spread.rdd.getNumPartitions() == (cores if cores >= 4 else 1)
     assert rows(spread) == rows(plain)
     for i in range(cores):
         put(tmp_path, b"id,a\n1,x\n", f"{i}.csv")
-    assert "Exchange" not in read_csv(spark, one, schema)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in read_csv(spark, one, schema, spread=True)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_large_text_takes_more_shuffle_partitions(spark, tmp_path, small_splits, monkeypatch):
