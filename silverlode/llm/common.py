@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,3 +66,15 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         if moved.where("moved").isEmpty():
             break
     return nodes.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("component"))
+
+
+_SHIPPED: dict[str, str] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library to the Python workers, once per application, for sessions started without ``--py-files``."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        root = Path(__file__).resolve().parents[2]
+        _SHIPPED[app] = shutil.make_archive(f"{tempfile.mkdtemp()}/silverlode", "zip", root, "silverlode")
+        spark.sparkContext.addPyFile(_SHIPPED[app])

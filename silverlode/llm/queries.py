@@ -3,12 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
+
+import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import mixing, sharding
-from silverlode.llm.common import table
+from silverlode.llm import bpe, minhash, mixing, sharding
+from silverlode.llm.common import ship, table
+
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op3_minhash_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op6_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,8 +40,34 @@ def op8_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def bpe_digest(docs: DataFrame) -> DataFrame:
+    """doc_id, number and digest of a text's ids, and the digest of the bytes that these decode to."""
+    encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).select("doc_id", "ids")
+    return bpe.decode(encoded, RANKS).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = (op3_minhash_one_permutation, op6_sainte_lague_mix, op8_two_pass_shuffle, op10_byte_bpe)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_sainte_lague_mix, op8_two_pass_shuffle)}
+    def shipped(query):
+        @wraps(query)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return query(spark, sf_dir)
+
+        return run
+
+    return {q.__name__: shipped(q) for q in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
