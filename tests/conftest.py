@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
+os.environ["PYTHONPATH"] = os.pathsep.join([str(ROOT), os.environ.get("PYTHONPATH", "")])
 
 SMALL = "/root/testdata/sf0.001"
 

@@ -16,12 +16,12 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert contract.table_queries().keys() == contract.table_sql().keys()
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", contract.table_queries())
 def test_query(spark, con, sf_dir, name):
-    assert assert_same(contract.queries()[name](spark, sf_dir), con, contract.oracle_sql()[name]) > 0
+    assert assert_same(contract.table_queries()[name](spark, sf_dir), con, contract.table_sql()[name]) > 0
 
 
 def test_unnesting_keeps_null_numbers(spark, con, sf_dir):
