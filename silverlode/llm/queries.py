@@ -7,16 +7,26 @@ from functools import wraps
 
 import public_tokenizers
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import bpe, minhash, mixing, sharding
+from silverlode.llm import bpe, minhash, mixing, pii, sharding
 from silverlode.llm.common import ship, table
 
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"), ["doc_id"])
+
+    def count(place: int) -> Column:
+        return F.size(F.filter("base", lambda span: span["kind"] == place)).cast("long")
+
+    counts = [count(place).alias(f"n_{kind}") for place, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, "base_sha256", pii.listed("spans").alias("spans"))
+
+
 def op3_minhash_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -55,7 +65,13 @@ def bpe_digest(docs: DataFrame) -> DataFrame:
     )
 
 
-QUERIES = (op3_minhash_one_permutation, op6_sainte_lague_mix, op8_two_pass_shuffle, op10_byte_bpe)
+QUERIES = (
+    op1_bootstrapped_pii,
+    op3_minhash_one_permutation,
+    op6_sainte_lague_mix,
+    op8_two_pass_shuffle,
+    op10_byte_bpe,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
