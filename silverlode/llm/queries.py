@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import bpe, minhash, mixing, pii, sharding
+from silverlode.llm import bpe, minhash, mixing, perplexity, pii, sharding, templates
 from silverlode.llm.common import ship, table
 
 
@@ -31,12 +31,22 @@ def op3_minhash_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.extract(table(spark, sf_dir, "pages"), ["page_id", "url"]).select(
+        "page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars")
+    )
+
+
 def op6_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken"
     )
 
 
+def op7_kneser_ney_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.rules(table(spark, sf_dir, "documents"), ["doc_id"]).select("doc_id", "quality.*")
+
+
 def op8_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law ``rows``. The payload shuffled is the whole document."""
     return sharding.shuffled(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
@@ -68,7 +78,9 @@ def bpe_digest(docs: DataFrame) -> DataFrame:
 QUERIES = (
     op1_bootstrapped_pii,
     op3_minhash_one_permutation,
+    op5_site_templates,
     op6_sainte_lague_mix,
+    op7_kneser_ney_bands,
     op8_two_pass_shuffle,
     op10_byte_bpe,
 )
