@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverlode.llm.common import stored
 
@@ -66,6 +67,7 @@ class _Node:
         self.main = tag == "main"
         if attributes and not attributes.isspace():
             self._read(attributes)
+        self.holds_main |= self.main
 
     def _read(self, attributes: str) -> None:
         names: set[str] = set()
@@ -78,7 +80,7 @@ class _Node:
                 self.main |= value.lower() == "main"
             elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
                 self.dropped = True
-        self.dropped |= bool(names & _NAMES)
+        self.dropped |= bool(names & _NAMES) and self.tag not in ("html", "body")
         self.main |= self.tag in ("div", "section") and bool(names & _MAIN_NAMES)
 
 
@@ -260,9 +262,9 @@ def extract(pages: DataFrame, carried: list[str] | None = None) -> DataFrame:
                 ["row", "host", "number", "blocks", "subtrees"],
             )
 
-    schema = given.drop("html").schema.add("blocks", "array<struct<text:string,under:array<long>>>").add(
-        "subtrees", "array<long>"
-    )
+    hashes = T.ArrayType(T.LongType())
+    block = T.StructType([T.StructField("text", T.StringType()), T.StructField("under", hashes)])
+    schema = given.drop("html").schema.add("blocks", T.ArrayType(block)).add("subtrees", hashes)
     parsed = stored(given.mapInArrow(run, schema), "parsed")
     seen = parsed.select("number", "host", F.explode("subtrees").alias("subtree"))
     hosts = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
