@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.llm.common import components, stored
@@ -18,6 +17,11 @@ SIMILARITY = 75  # per cent
 BINS = 128
 BANDS = 32
 SEED = 29
+# Members of a bucket are compared in blocks of about so many.
+BLOCK = 1024
+BLOCK_BYTES = 8 << 20
+# Pairs whose sketches agree less than so many standard deviations below the similarity asked for are no candidates.
+DEVIATIONS = 5.0
 
 _ROWS = BINS // BANDS
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -76,12 +80,12 @@ def signature(hashes: np.ndarray, donors: np.ndarray) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, print, bands): the size of each set, its 128-bit fingerprint, and a hash for each band."""
+    """(doc_id, n_shingles, print, bands, sketch): set size, its 128-bit fingerprint, a hash for each band, a byte for each bin."""
     donors = _donors(BINS, SEED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, prints, bands = [], [], []
+            sizes, prints, bands, sketches = [], [], [], []
             for text in batch.column("text"):
                 hashes = shingles(text.as_py(), words)
                 sizes.append(len(hashes))
@@ -92,20 +96,23 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
                     for i in range(_ROWS):
                         value = _mix(value * _MIX + rows[:, i])
                     bands.append(value.view(np.int64))
+                    sketches.append((_mix(rows) & np.uint64(255)).astype(np.uint8).tobytes())
                 else:
                     bands.append(None)
+                    sketches.append(None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(sizes, pa.int64()),
                     pa.array(prints, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(sketches, pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "print", "bands"],
+                ["doc_id", "n_shingles", "print", "bands", "sketch"],
             )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, print binary, bands array<long>"
+        run, "doc_id long, n_shingles long, print binary, bands array<long>, sketch binary"
     )
 
 
@@ -118,25 +125,93 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                 [
                     batch.column("doc_id"),
                     pa.array(prints, pa.binary()),
-                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
                 ],
                 ["doc_id", "print", "hashes"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, print binary, hashes array<long>")
+    return docs.mapInArrow(run, "doc_id long, print binary, hashes binary")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are at least ``percent`` per cent alike. A hot ``a`` is split by Spark's skew join."""
-    left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("of_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("of_b"))
-    both = F.size(F.array_intersect("of_a", "of_b"))
+def _stars(ids: np.ndarray, rows: Iterator[tuple[int, np.ndarray]]) -> pa.Table:
+    """From the neighbours of each place: for every group that hangs together, an edge from its least id to each other."""
+    label = np.arange(len(ids))  # ids are in order, so a group's least place is its least id's
+    for i, near in rows:
+        joined = np.unique(label[np.append(near, i)])
+        if len(joined) > 1:
+            label[np.isin(label, joined)] = joined[0]
+    at = np.flatnonzero(label != np.arange(len(ids)))
+    return pa.table({"a": pa.array(ids[label[at]], pa.int64()), "b": pa.array(ids[at], pa.int64())})
+
+
+def _block_pair(table: pa.Table, *columns: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+    """Ids in order, which of them compare with the others, which are compared with, and their further columns."""
+    ids = table.column("id").to_numpy()
+    order = np.argsort(ids, kind="stable")
+    block = table.column("block").to_numpy()[order]
+    low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+    more = [[column[i] for i in order] for column in (table.column(c).to_pylist() for c in columns)]
+    return ids[order], block == low, block == high, more
+
+
+def _candidates(percent: int):
+    """Stars of the members of one block pair of a bucket whose sizes and sketches allow the similarity asked for."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, ours, theirs, (sizes, sketches) = _block_pair(table, "n", "sketch")
+        n, p = np.array(sizes), percent / 100
+        bins = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, BINS)
+
+        def near() -> Iterator[tuple[int, np.ndarray]]:
+            for i in np.flatnonzero(ours):
+                least, most = np.minimum(n, n[i]), np.maximum(n, n[i])
+                floor = p - DEVIATIONS * np.sqrt(p * (1 - p) / np.clip(most / 2, 1, BINS))
+                like = theirs & (least * 100 >= most * percent) & ((bins == bins[i]).mean(1) >= floor)
+                like[i] = False
+                if like.any():
+                    yield i, np.flatnonzero(like)
+
+        return _stars(ids, near())
+
+    return run
+
+
+def _links(percent: int):
+    """Stars of the members of one block pair of a family whose full sets are as alike as asked for."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, ours, theirs, (sets,) = _block_pair(table, "hashes")
+        sizes = np.array([len(s) // 8 for s in sets])
+        hashes, owner = np.unique(np.frombuffer(b"".join(sets), np.int64), return_inverse=True)
+        member = np.repeat(np.arange(len(ids)), sizes)
+        by_hash = member[np.argsort(owner, kind="stable")]
+        start = np.searchsorted(np.sort(owner), np.arange(len(hashes) + 1))
+        first = np.append(0, sizes.cumsum())
+
+        def near() -> Iterator[tuple[int, np.ndarray]]:
+            for i in np.flatnonzero(ours):
+                own = owner[first[i] : first[i + 1]]
+                length = start[own + 1] - start[own]
+                skip = np.repeat(start[own] - (length.cumsum() - length), length)
+                both = np.bincount(by_hash[skip + np.arange(length.sum())], minlength=len(ids))
+                like = theirs & (both * 100 >= (sizes + sizes[i] - both) * percent)
+                like[i] = False
+                if like.any():
+                    yield i, np.flatnonzero(like)
+
+        return _stars(ids, near())
+
+    return run
+
+
+def _in_blocks(rows: DataFrame, group: str, blocks: DataFrame) -> DataFrame:
+    """``rows`` once for each pair of blocks of its group that it takes part in; ``blocks`` has (group, blocks)."""
     return (
-        pairs.join(right, "b")
-        .join(left, "a")
-        .select("a", "b", both.alias("both"), (F.size("of_a") + F.size("of_b") - both).alias("either"))
-        .where(F.col("both") * 100 >= F.col("either") * percent)
-        .select("a", "b")
+        rows.join(blocks, group)
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+        .drop("blocks", "other")
     )
 
 
@@ -147,16 +222,18 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY, words: int = WOR
        128 bins, the least of each bin, empty bins filled by optimal densification. Four bins make a band. Sets
        that are 75 % alike share none of the 32 bands once in 200,000 times.
     2. Documents with the same set become one class, named by the least doc_id, before anything else is done.
-    3. In each bucket (classes that share a band) the least class is the centre of a star: it is paired with every
-       other member of like size, so a bucket gives fewer pairs than members. Pairs are confirmed on the full sets.
-    4. Where members of a bucket still lie in different components, the members after the last centre get their
-       turn, twice as many in each round as in the one before, against members of other components. It
-       ends when each bucket is one component or all its members have had their turn, so no pair that
-       shares a bucket and could join two components is left out.
+    3. The classes that share a band are a bucket. In it, sketches (a byte for each bin) tell which pairs can be alike
+       at all; what hangs together by such pairs leaves as a star from its least class. Stars that
+       touch, over all buckets, are a family.
+    4. A family's members are compared on their full sets, and what hangs together by links leaves as a star again.
+
+    Buckets and families are compared in blocks of bounded size, each pair of blocks in a group of its own, so that no
+    task holds a hot one whole. Each gives fewer edges than it has members, never its pairs.
 
     Texts without words (null, empty, blank) have empty sets and link with nothing. Rows without doc_id link with
     nothing, have no component, and are kept. Rows that repeat a doc_id are each returned; if their texts differ, the one
-    of least fingerprint stands for the id where texts are compared. An empty table gives no rows. Columns besides doc_id and text are not looked at.
+    of least fingerprint stands for the id where texts are compared. An empty table gives no rows. Columns besides
+    doc_id and text are not looked at.
     """
     signed = stored(_signed(docs, words), "signatures")
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -164,69 +241,45 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY, words: int = WOR
     named = classes.groupBy(F.col("id").alias("doc_id")).agg(F.min("print").alias("print"))
     first = usable.join(named, ["doc_id", "print"], "left_semi").dropDuplicates(["doc_id"])
 
-    in_band = first.select(
-        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")
-    )
-    shared = in_band.groupBy("bucket").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("members"))
-    starred = stored(
-        in_band.join(shared.where("members > 1"), "bucket").select("bucket", "id", "n", "centre"), "buckets"
+    in_band = first.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
+    shared = (
+        in_band.groupBy("bucket")
+        .agg(F.count(F.lit(1)).alias("members"))
+        .where("members > 1")
+        .select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     )
-    sizes = starred.select("id", "n").distinct()
-    likely = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-    pairs = stored(
-        starred.where("id <> centre")
-        .select(F.col("centre").alias("a"), F.col("id").alias("b"), "n")
-        .distinct()
-        .join(sizes.select(F.col("id").alias("a"), F.col("n").alias("m")), "a")
-        .where(likely)
-        .select("a", "b"),
-        "pairs",
+    # Most bands are shared with nobody: sketches go along only with rows that are.
+    sketches = first.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch")
+    members = _in_blocks(in_band, "bucket", shared).join(sketches, "id")
+    stars = stored(
+        members.groupBy("bucket", "low", "high").applyInArrow(_candidates(percent), "a long, b long").distinct(), "stars"
     )
-    owners = starred.select(F.col("id").alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(owners, "doc_id", "left_semi")
+    active = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    families = stored(components(active, stars), "families").withColumnsRenamed({"node": "doc_id", "component": "family"})
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = stored(
-        _sets(texts, words)
+        _sets(texts.join(families.select("doc_id"), "doc_id", "left_semi"), words)
         .join(named, ["doc_id", "print"], "left_semi")
         .dropDuplicates(["doc_id"])
-        .select(F.col("doc_id").alias("id"), "hashes"),
+        .join(families, "doc_id")
+        .select("family", F.col("doc_id").alias("id"), "hashes"),
         "sets",
     )
-    nodes = owners.withColumnRenamed("doc_id", "node")
-    links = [stored(_linked(pairs, sets, percent), "links")]
-    found = components(nodes, links[0])
-
-    done, turn = 1, 1
-    while True:
-        now = starred.select("bucket", "id", "n").join(found.withColumnRenamed("node", "id"), "id")
-        torn = now.groupBy("bucket").agg(
-            F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("members")
-        ).where((F.col("least") < F.col("most")) & (F.col("members") > done + 1))
-        ranked = stored(
-            now.join(torn.select("bucket"), "bucket", "left_semi").withColumn(
-                "rank", F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
-            ),
-            "torn",
-        )
-        if ranked.isEmpty():
-            break
-        centres = ranked.where((F.col("rank") > done) & (F.col("rank") <= done + turn)).select(
-            "bucket",
-            F.col("id").alias("a"),
-            F.col("n").alias("m"),
-            F.col("rank").alias("centre_rank"),
-            F.col("component").alias("of_centre"),
-        )
-        pairs = (
-            ranked.join(centres, "bucket")
-            .where((F.col("rank") > F.col("centre_rank")) & (F.col("component") != F.col("of_centre")) & likely)
-            .select("a", F.col("id").alias("b"))
-            .distinct()
-        )
-        links.append(stored(_linked(pairs, sets, percent), "links"))
-        done, turn = done + turn, turn * 2
-        if not links[-1].isEmpty():
-            found = components(nodes, reduce(DataFrame.unionAll, links))
-    resolved = classes.join(found, F.col("id") == F.col("node"), "left").select(
+    size = sets.groupBy("family").agg(
+        F.ceil(
+            F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.octet_length("hashes")) / BLOCK_BYTES)
+        ).cast("int").alias("blocks")
+    )
+    links = stored(
+        _in_blocks(sets, "family", size)
+        .groupBy("family", "low", "high")
+        .applyInArrow(_links(percent), "a long, b long")
+        .distinct(),
+        "links",
+    )
+    linked = components(links.select(F.explode(F.array("a", "b")).alias("node")).distinct(), links)
+    resolved = classes.join(linked, F.col("id") == F.col("node"), "left").select(
         "print", F.coalesce("component", "id").alias("component_id")
     )
     placed = signed.join(resolved, "print", "left").select(
