@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -16,31 +18,37 @@ LONG_WORD = 256
 WORDS_PER_QUERY = 40_000
 CHARS_PER_STEP = 1 << 20
 TOKENS_PER_STEP = 1 << 20
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 
 # A round merges, in every word that has a pair of the merge table, its pair of least rank, the leftmost of equals
-# (rank and place as one number). Words without such a pair add no rows to the next round: their last is their result.
+# (rank and place as one number; places run through all words). Words without such a pair add no rows to the next
+# round: their last is their result. A row knows the place and token of the one that follows it in its word, or -1.
 ENCODE = """
 WITH RECURSIVE state AS (
-    SELECT 0 AS round, word, pos, token, pos + 1 AS next FROM start
+    SELECT 0 AS round, word, pos, token, next, after FROM start
     UNION ALL
-    SELECT round + 1, s.word, s.pos,
-        CASE WHEN s.pos = best & 4294967295 THEN (best >> 32)::INTEGER ELSE s.token END,
-        CASE WHEN s.pos = best & 4294967295 THEN next_after ELSE s.next END
+    SELECT s.round + 1, s.word, s.pos,
+        CASE WHEN s.pos = first_pos THEN made ELSE s.token END,
+        CASE WHEN s.pos = first_pos THEN m.next ELSE s.next END,
+        CASE WHEN s.pos = first_pos THEN m.after WHEN s.next = first_pos THEN made ELSE s.after END
     FROM state s JOIN (
-        SELECT word, min(pair) AS best, arg_min(second_pos, pair) AS gone, arg_min(second_next, pair) AS next_after
+        SELECT best.word, made, first_pos, gone, q.next, q.after
         FROM (
-            SELECT a.word, (id::BIGINT << 32) | a.pos AS pair, b.pos AS second_pos, b.next AS second_next
-            FROM state a JOIN state b ON a.word = b.word AND a.next = b.pos
-            JOIN merges ON first = a.token AND second = b.token
-        )
-        GROUP BY word
+            SELECT word, (min(ranked) >> 32)::INTEGER AS made, (min(ranked) & 4294967295)::INTEGER AS first_pos,
+                arg_min(next, ranked) AS gone
+            FROM (
+                SELECT word, next, (id::BIGINT << 32) | pos AS ranked
+                FROM state JOIN merges ON pair = (token::BIGINT << 32) | after
+            )
+            GROUP BY word
+        ) best JOIN state q ON q.pos = gone
     ) m ON s.word = m.word
     WHERE s.pos <> gone
 )
-SELECT word, token FROM state
-QUALIFY round = max(round) OVER (PARTITION BY word)
-ORDER BY word, pos
+SELECT s.word, token
+FROM state s JOIN (SELECT word, max(round) AS round FROM state GROUP BY word) last
+    ON s.word = last.word AND s.round = last.round
+ORDER BY pos
 """
 
 DECODE = "SELECT doc, list(bytes ORDER BY pos) AS bytes FROM tokens JOIN vocabulary USING (token) GROUP BY doc ORDER BY doc"
@@ -76,21 +84,23 @@ class Encoder:
         ]
         first, second, made = (pa.array(np.array(x, np.int32)) for x in zip(*pairs, strict=True))
         self._db.register("pairs", pa.table({"first": first, "second": second, "id": made}))
-        self._db.execute("CREATE TABLE merges AS SELECT * FROM pairs")
+        self._db.execute("CREATE TABLE merges AS SELECT (first::BIGINT << 32) | second AS pair, id FROM pairs")
         self._db.unregister("pairs")
-        self._cache: dict[str, bytes] = {}
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
         split = [self._split(t) if t else [] for t in texts]
-        words = set().union(*split)
-        new = [w for w in words if w not in self._cache]
-        if len(self._cache) + len(new) > CACHED_WORDS:
-            self._cache.clear()
-            new = list(words)
-        known = self._cache
-        known.update(self._encode(new))
-        return [b"".join([known[w] for w in s]) for s in split]
+        known, old = self._young, self._old
+        missing = set().union(*split).difference(known)
+        met = {w: old[w] for w in missing if w in old}
+        known.update(met)
+        known.update(self._encode([w for w in missing if w not in met]))
+        ids = [b"".join([known[w] for w in s]) for s in split]
+        if len(known) > CACHED_WORDS:  # words not met since the last time go
+            self._young, self._old = {}, known
+        return ids
 
     def _encode(self, words: list[str]) -> dict[str, bytes]:
         done, rest = {}, []
@@ -110,10 +120,16 @@ class Encoder:
     def _merge(self, words: list[tuple[str, bytes]]) -> Iterator[tuple[str, bytes]]:
         lengths = np.array([len(raw) for _, raw in words])
         ends = lengths.cumsum()
+        pos = np.arange(ends[-1], dtype=np.int32)
+        token = self._byte[np.frombuffer(b"".join(raw for _, raw in words), np.uint8)]
+        next_, after = pos + 1, np.append(token[1:], -1).astype(np.int32)
+        next_[ends - 1] = after[ends - 1] = -1
         start = {
             "word": np.repeat(np.arange(len(words), dtype=np.int32), lengths),
-            "pos": (np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)).astype(np.int32),
-            "token": self._byte[np.frombuffer(b"".join(raw for _, raw in words), np.uint8)],
+            "pos": pos,
+            "token": token,
+            "next": next_,
+            "after": after,
         }
         self._db.register("start", pa.table(start))
         found = self._db.execute(ENCODE).fetchnumpy()
@@ -216,6 +232,13 @@ def _schema_with(df: DataFrame, name: str) -> T.StructType:
 _KEPT: dict = {}  # in a Python worker: what it has built, for its later tasks
 
 
+def _sent(df: DataFrame, path: str) -> Broadcast:
+    """The vocabulary file's digest and ranks, sent to the executors: a file of bounded size."""
+    with open(path, "rb") as file:
+        digest = hashlib.sha256(file.read()).hexdigest()
+    return df.sparkSession.sparkContext.broadcast((digest, read_ranks(path)))
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with a column of token ids, as little-endian unsigned 32-bit integers.
 
@@ -227,11 +250,12 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
     Null and empty texts have no tokens; repeated rows are encoded alike; an empty table gives no rows. Other columns
     are carried, but for one named ``out``, which is replaced.
     """
-    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
+    table = _sent(docs, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = ("encode", ranks.id, pattern)
-        encoder = _KEPT.get(key) or _KEPT.setdefault(key, Encoder(ranks.value, pattern))
+        digest, ranks = table.value
+        key = ("encode", digest, pattern)
+        encoder = _KEPT.get(key) or _KEPT.setdefault(key, Encoder(ranks, pattern))
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
             ids: list[bytes] = []
@@ -247,11 +271,12 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
 
     A null list of ids gives no bytes; an id outside the vocabulary fails the job.
     """
-    ranks = encoded.sparkSession.sparkContext.broadcast(read_ranks(path))
+    table = _sent(encoded, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = ("decode", ranks.id)
-        decoder = _KEPT.get(key) or _KEPT.setdefault(key, Decoder(ranks.value))
+        digest, ranks = table.value
+        key = ("decode", digest)
+        decoder = _KEPT.get(key) or _KEPT.setdefault(key, Decoder(ranks))
         for batch in batches:
             given = [x or b"" for x in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
             decoded: list[bytes] = []
