@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import bpe, minhash, mixing, perplexity, pii, sharding, templates
+from silverlode.llm import attention, bpe, minhash, mixing, perplexity, pii, sharding, templates
 from silverlode.llm.common import ship, table
 
 
@@ -60,6 +60,18 @@ def op8_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_attention_bags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = attention.train(docs, table(spark, sf_dir, "labels"))
+    scored = attention.score(docs, model, ["doc_id"])
+    return scored.select(
+        "doc_id",
+        attention.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -82,6 +94,7 @@ QUERIES = (
     op6_sainte_lague_mix,
     op7_kneser_ney_bands,
     op8_two_pass_shuffle,
+    op9_attention_bags,
     op10_byte_bpe,
 )
 
