@@ -51,7 +51,7 @@ FROM state s JOIN (SELECT word, max(round) AS round FROM state GROUP BY word) la
 ORDER BY pos
 """
 
-DECODE = "SELECT doc, list(bytes ORDER BY pos) AS bytes FROM tokens JOIN vocabulary USING (token) GROUP BY doc ORDER BY doc"
+DECODE = "SELECT bytes FROM tokens JOIN vocabulary USING (token) ORDER BY pos"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -97,7 +97,7 @@ class Encoder:
         met = {w: old[w] for w in missing if w in old}
         known.update(met)
         known.update(self._encode([w for w in missing if w not in met]))
-        ids = [b"".join([known[w] for w in s]) for s in split]
+        ids = [b"".join(map(known.__getitem__, s)) for s in split]
         if len(known) > CACHED_WORDS:  # words not met since the last time go
             self._young, self._old = {}, known
         return ids
@@ -181,28 +181,23 @@ class Decoder:
     def texts(self, ids: list[bytes]) -> list[bytes]:
         """The bytes of each list of ids; fails on an id that is not in the vocabulary."""
         lengths = np.array([len(x) // 4 for x in ids])
-        out = [b""] * len(ids)
         if not lengths.sum():
-            return out
+            return [b""] * len(ids)
         tokens = {
-            "doc": np.repeat(np.arange(len(ids), dtype=np.int32), lengths),
             "pos": np.arange(lengths.sum(), dtype=np.int32),
             "token": np.frombuffer(b"".join(ids), "<u4").astype(np.int32),
         }
         self._db.register("tokens", pa.table(tokens))
-        found = self._db.sql(DECODE).to_arrow_table()
+        found = self._db.sql(DECODE).to_arrow_table().column("bytes").combine_chunks()
         self._db.unregister("tokens")
-        # Each document's tokens lie end to end in the buffer of the result.
-        for docs, lists in zip(found["doc"].chunks, found["bytes"].chunks, strict=True):
-            parts = lists.values
-            bounds = np.frombuffer(parts.buffers()[1], np.int32)[parts.offset :]
-            data = memoryview(parts.buffers()[2])
-            starts = np.asarray(lists.offsets)
-            for doc, begin, end in zip(docs.to_pylist(), starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                if end - begin != lengths[doc]:
-                    raise ValueError("an id is not in the vocabulary")
-                out[doc] = bytes(data[bounds[begin] : bounds[end]])
-        return out
+        if len(found) != lengths.sum():
+            raise ValueError("an id is not in the vocabulary")
+        # In order, the bytes of all tokens lie end to end in the buffer of the result: a text is one slice of it.
+        found = found.chunk(0) if isinstance(found, pa.ChunkedArray) else found
+        bounds = np.frombuffer(found.buffers()[1], np.int32)[found.offset :]
+        data = memoryview(found.buffers()[2])
+        cuts = bounds[np.append(0, lengths.cumsum())].tolist()
+        return [bytes(data[begin:end]) for begin, end in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def _steps(sizes: list[int], most: int) -> Iterator[slice]:
@@ -267,7 +262,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``encoded`` with a column of the bytes that its ids stand for: an ordered aggregation over (text, place, token).
+    """``encoded`` with a column of the bytes that its ids stand for: tokens join the vocabulary, and
+    in their order the bytes add up to the texts.
 
     A null list of ids gives no bytes; an id outside the vocabulary fails the job.
     """

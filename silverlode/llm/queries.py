@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import attention, bpe, minhash, mixing, perplexity, pii, sharding, templates
+from silverlode.llm import attention, bpe, minhash, mixing, perplexity, pii, rotated_codes, sharding, templates
 from silverlode.llm.common import ship, table
 
 
@@ -31,6 +31,10 @@ def op3_minhash_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotated_codes.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.extract(table(spark, sf_dir, "pages"), ["page_id", "url"]).select(
         "page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars")
@@ -90,6 +94,7 @@ def bpe_digest(docs: DataFrame) -> DataFrame:
 QUERIES = (
     op1_bootstrapped_pii,
     op3_minhash_one_permutation,
+    op4_rotated_codes,
     op5_site_templates,
     op6_sainte_lague_mix,
     op7_kneser_ney_bands,

@@ -231,7 +231,7 @@ def _may_recur(node: _Node, guarded: bool, content: _Node) -> bool:
 def extract(pages: DataFrame, carried: list[str] | None = None) -> DataFrame:
     """``pages`` (url, html) with a column ``main_text``: the blocks of the main part, joined by a blank line.
 
-    Each page is parsed once. Menus, footers, forms, scripts and the like go by element, role and class; every other
+    Each page is parsed twice, once to hash and once to cut, so that no copy of the texts is kept between. Menus, footers, forms, scripts and the like go by element, role and class; every other
     block subtree is hashed, tag by tag with its text, and counted over the pages of its host by Spark. Those on a tenth of a
     host's pages, and on five at least, are the host's template: their blocks go. Counts are combined before they
     move, so a hot host costs no more than others. White space within a block becomes one space; character
@@ -242,31 +242,23 @@ def extract(pages: DataFrame, carried: list[str] | None = None) -> DataFrame:
     main_text is replaced.
     """
     columns = [c for c in carried or pages.columns if c != "main_text"]
-    given = pages.select(
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
-        F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit("")).alias("host"),
-        F.monotonically_increasing_id().alias("number"),
-        "html",
-    )
+    host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
+    # Equal pages have equal subtrees, so their content may serve as the key.
+    key = F.xxhash64("url", "html").alias("key")
+    hashes = T.ArrayType(T.LongType())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = pa.list_(pa.struct([("text", pa.string()), ("under", pa.list_(pa.int64()))]))
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [blocks(p.as_py()) for p in batch.column("html")]
+            found = [sorted({h for _, u in blocks(p.as_py()) for h in u}) for p in batch.column("html")]
             yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(c) for c in ("row", "host", "number")],
-                    pa.array([[{"text": t, "under": u} for t, u in f] for f in found], parts),
-                    pa.array([sorted({h for _, u in f for h in u}) for f in found], pa.list_(pa.int64())),
-                ],
-                ["row", "host", "number", "blocks", "subtrees"],
+                [batch.column("key"), batch.column("host"), pa.array(found, pa.list_(pa.int64()))],
+                ["key", "host", "subtrees"],
             )
 
-    hashes = T.ArrayType(T.LongType())
-    block = T.StructType([T.StructField("text", T.StringType()), T.StructField("under", hashes)])
-    schema = given.drop("html").schema.add("blocks", T.ArrayType(block)).add("subtrees", hashes)
-    parsed = stored(given.mapInArrow(run, schema), "parsed")
-    seen = parsed.select("number", "host", F.explode("subtrees").alias("subtree"))
+    given = pages.select(key, host.alias("host"), "html")
+    schema = given.select("key", "host").schema.add("subtrees", hashes)
+    parsed = stored(given.mapInArrow(hashed, schema), "subtrees")
+    seen = parsed.select("key", "host", F.explode("subtrees").alias("subtree"))
     hosts = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     template = (
         seen.groupBy("host", "subtree")
@@ -276,11 +268,18 @@ def extract(pages: DataFrame, carried: list[str] | None = None) -> DataFrame:
         .where(F.col("n") >= F.col("pages") * LEAST_SHARE)
         .select("host", "subtree")
     )
-    hit = seen.join(template, ["host", "subtree"]).groupBy("number").agg(F.collect_list("subtree").alias("template"))
-    none = F.array().cast("array<long>")
-    kept = F.filter(
-        "blocks", lambda b: ~F.arrays_overlap(b["under"], F.coalesce(F.col("template"), none))
-    )
-    return parsed.join(hit, "number", "left").select(
-        "row.*", F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n").alias("main_text")
-    )
+    hit = seen.join(template, ["host", "subtree"]).groupBy("key").agg(F.collect_set("subtree").alias("template"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for page, template in zip(batch.column("html"), batch.column("template").to_pylist(), strict=True):
+                gone = frozenset(template or ())
+                texts.append("\n\n".join(t for t, under in blocks(page.as_py()) if gone.isdisjoint(under)))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "main_text"])
+
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), key, "html")
+    kept = rows.join(hit, "key", "left").select("row", "html", "template")
+    return kept.mapInArrow(
+        cut, T.StructType([rows.schema["row"], T.StructField("main_text", T.StringType())])
+    ).select("row.*", "main_text")
