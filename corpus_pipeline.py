@@ -8,18 +8,51 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from silverlode.llm import minhash, mixing, perplexity, pii
 from silverlode.llm.common import ship, stored, table
 from silverlode.llm.queries import bpe_digest
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    ship(spark)
+    columns = [f"`{c}`" for c in docs.columns]
+    return perplexity.rules(docs).where("quality.kept").select(*columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that of the least id. Rows without id stay."""
+    ship(spark)
+    gone = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind; ``n_chars`` counted anew."""
+    ship(spark)
+    return pii.redacted(pii.find(docs), docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, the last time in part; ``n_chars`` counted anew."""
+    return mixing.mixed_texts(mixing.mix(docs))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE: number and digest of the ids, and the digest of what these decode to."""
     ship(spark)
-    return bpe_digest(docs)
+    return bpe_digest(docs.select("doc_id", "text"))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("byte_bpe", encode)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality),
+    ("minhash_near_dedup", near_duplicates),
+    ("personal_data", personal_data),
+    ("source_mix", mix),
+    ("byte_bpe", encode),
+]
 
 # Stages of statistics, graphs and models cannot be put in SQL; tests hold the run against a plain Python one.
 ORACLE_SQL = None

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import attention, bpe, minhash, mixing, perplexity, pii, rotated_codes, sharding, templates
+from silverlode.llm import attention, bpe, bwt_dedup, minhash, mixing, perplexity, pii, rotated_codes, sharding, templates
 from silverlode.llm.common import ship, table
 
 
@@ -27,6 +27,17 @@ def op1_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, "base_sha256", pii.listed("spans").alias("spans"))
 
 
+def op2_bwt_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = F.transform("removed", lambda run: run["end"] - run["start"])
+    return bwt_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_minhash_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -93,6 +104,7 @@ def bpe_digest(docs: DataFrame) -> DataFrame:
 
 QUERIES = (
     op1_bootstrapped_pii,
+    op2_bwt_repeats,
     op3_minhash_one_permutation,
     op4_rotated_codes,
     op5_site_templates,
