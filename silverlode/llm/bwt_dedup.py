@@ -16,11 +16,11 @@ LENGTH = 50
 # A window is filed under the least hash of its byte strings of this length.
 ANCHOR = 24
 BLOCK_BYTES = 4 << 20
-BLOCKS_PER_BUCKET = 4
+BLOCKS_PER_BUCKET = 1
 LEAST_BLOCKS = 16
 # Windows of one segment at most: their verdicts fit a 32-bit mask.
 SEGMENT = 32
-TRANSFORM_BYTES = 1 << 20
+TRANSFORM_BYTES = 1 << 19
 
 _SPAN = LENGTH - ANCHOR + 1
 
@@ -135,28 +135,29 @@ def window_minima(segments: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     symbols[ends - 1] = 0  # between segments; no byte has this symbol
     owner = np.repeat(docs, sizes + 1)
     least = owner.copy()
-    order = _suffixes(symbols, LENGTH + 1)
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
+    order = _suffixes(symbols, LENGTH + 1).astype(np.int32)
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
     before = symbols[order - 1].astype(np.uint16)
     before[order == 0] = 0
     back = place[order - 1]
-    rows, group = np.arange(len(order)), np.zeros(len(order), np.int64)
-    for _ in range(LENGTH):
+    rank = np.unique(docs, return_inverse=True)[1].astype(np.int32)
+    holder = np.repeat(rank, sizes + 1)[order]
+    rows, group = np.arange(len(order), dtype=np.int32), np.zeros(len(order), np.int32)
+    for level in range(1, LENGTH + 1):
         byte = before[rows]
-        on = byte > 0
-        rows, group, byte = rows[on], group[on], byte[on]
         turn = np.argsort(byte, kind="stable")
+        turn = turn[np.searchsorted(byte[turn], 1) :]  # a separator begins no string
         rows, group, byte = back[rows[turn]], group[turn], byte[turn]
         if not len(rows):
             break
         new = np.append(True, (byte[1:] != byte[:-1]) | (group[1:] != group[:-1]))
-        begin = np.flatnonzero(new)
-        own = owner[order[rows]]
-        mixed = np.minimum.reduceat(own, begin) != np.maximum.reduceat(own, begin)
-        group = new.cumsum() - 1
-        on = mixed[group]
-        rows, group = rows[on], group[on]
+        if level % 4 == 0 or level == LENGTH:
+            begin, own = np.flatnonzero(new), holder[rows]
+            lengths = np.diff(np.append(begin, len(rows)))
+            on = np.repeat(np.minimum.reduceat(own, begin) != np.maximum.reduceat(own, begin), lengths)
+            rows, new = rows[on], new[on]
+        group = new.cumsum(dtype=np.int32)
     if len(rows):
         begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
         lows = np.minimum.reduceat(owner[order[rows]], begin)
