@@ -6,6 +6,7 @@ Every stage is written as Parquet to the shared folder and read again, so a lost
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,26 +16,42 @@ from silverlode.llm.common import ship, stored, table
 from silverlode.llm.queries import bpe_digest
 
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keeping_columns(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable:
+    """A stage whose result has the columns it was given; further ones go by under names that no operator uses."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        aside = {c: f"carried_{i}" for i, c in enumerate(docs.columns) if c not in COLUMNS}
+        out = stage(spark, docs.withColumnsRenamed(aside), sf_dir)
+        return out.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
+
+    return run
+
+
+@keeping_columns
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    ship(spark)
-    columns = [f"`{c}`" for c in docs.columns]
-    return perplexity.rules(docs).where("quality.kept").select(*columns)
+    return perplexity.rules(docs).where("quality.kept")
 
 
+@keeping_columns
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that of the least id. Rows without id stay."""
-    ship(spark)
     gone = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    return docs.join(gone, "doc_id", "left_anti")
 
 
+@keeping_columns
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; ``n_chars`` counted anew."""
-    ship(spark)
     return pii.redacted(pii.find(docs), docs.columns)
 
 
+@keeping_columns
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, the last time in part; ``n_chars`` counted anew."""
     return mixing.mixed_texts(mixing.mix(docs))

@@ -113,10 +113,11 @@ def mix(
     ``mix`` has size, source_size, target, copies, taken (words, repeats counted) and what
     ``mixed_texts`` needs. A null text has size 0 and nothing is taken of it; a null source is a source of its own, and
     comes last; null and repeated ids are rows like others; ties go by id and text hash; an empty table gives no
-    rows. Columns of ``docs`` other than doc_id, text and source are only carried.
+    rows. Columns of ``docs`` other than doc_id, text and source are only carried, but for one
+    named mix, which is replaced.
     """
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "mix"]).alias("row"),
         F.col("source"),
         # Never null, so that one exchange serves the running sum and the join.
         F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("key"),

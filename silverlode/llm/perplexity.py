@@ -109,7 +109,8 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
 
     Below the longest grams, counts are numbers of different characters before a gram. Three discounts for each
     language and length come from its counts of counts. ``backoff`` is the weight left to shorter contexts after
-    this gram, null where nothing follows it. Single characters are smoothed with an even spread over 256 classes.
+    this gram, null where nothing follows it. Single characters are smoothed with an even spread over 256 classes, the
+    entry of length 0.
     """
     by_length = {order: counts.select("language", "gram", "n")}
     for k in range(order - 1, 0, -1):
@@ -160,13 +161,15 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
         )
         # What is left after a context belongs to the entry of the context, one character shorter.
         after = contexts.select("language", F.col("context").alias("gram"), F.log("left").alias("backoff"))
-        if k > 1:
+        if k == 1:
+            levels.append(after.select("language", "gram", F.lit(float(np.log(1 / 256))).alias("logp"), "backoff"))
+        else:
             levels[-1] = levels[-1].join(after, ["language", "gram"], "full")
         levels.append(scored.select("language", "gram", F.log("p").alias("logp")))
         lower = scored
     levels[-1] = levels[-1].withColumn("backoff", F.lit(None).cast("double"))
     return reduce(
-        DataFrame.unionByName, [level.withColumn("length", F.lit(k + 1)) for k, level in enumerate(levels)]
+        DataFrame.unionByName, [level.withColumn("length", F.lit(k)) for k, level in enumerate(levels)]
     )
 
 
@@ -189,14 +192,14 @@ class Model:
         """Log probability of the last character of each gram after those before it, by the longest gram known."""
         out = np.zeros(len(codes), np.float64)
         open_ = np.arange(len(codes))
-        for k in sorted(self._levels, reverse=True):
+        for k in sorted(self._levels.keys() - {0}, reverse=True):
             table, logp, _ = self._levels[k]
             gram = codes[open_] & np.uint32((1 << 8 * k) - 1)
             at, known = self._find(table, gram)
             known &= ~np.isnan(logp[at]) if len(table) else known
             out[open_[known]] += logp[at[known]]
             open_ = open_[~known]
-            if k > 1 and len(open_):
+            if len(open_) and k - 1 in self._levels:
                 context = gram[~known] >> np.uint32(8)
                 table, _, backoff = self._levels[k - 1]
                 at, known = self._find(table, context)

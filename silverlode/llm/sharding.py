@@ -28,10 +28,11 @@ def shuffled(
     The one exchange of whole rows is the scatter. A task reads its buckets in order, so that the
     same input, settings and seed give the same places. Counts per bucket are summed up over 4096 buckets at a
     time. Null texts count no bytes; null ids are hashed like others; repeated rows (equal id and text) share a
-    bucket and are kept; an empty table gives no rows. Columns are only carried, whatever their names.
+    bucket and are kept; an empty table gives no rows. Columns are only carried, but for one named place,
+    which is replaced.
     """
     rows = df.select(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "place"]).alias("row"),
         F.xxhash64(F.lit(seed), "doc_id", "text").alias("at"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("bytes"),
     )
