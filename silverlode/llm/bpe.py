@@ -18,7 +18,7 @@ LONG_WORD = 256
 WORDS_PER_QUERY = 40_000
 CHARS_PER_STEP = 1 << 20
 TOKENS_PER_STEP = 1 << 20
-CACHED_WORDS = 250_000
+CACHED_WORDS = 200_000
 
 # A round merges, in every word that has a pair of the merge table, its pair of least rank, the leftmost of equals
 # (rank and place as one number; places run through all words). Words without such a pair add no rows to the next

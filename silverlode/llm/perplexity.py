@@ -24,7 +24,7 @@ LEAST_ABOVE = 1.5
 # Model entries that one scoring pass holds; languages are scored in groups within it. A single
 # language has at most 256 ** ORDER entries, as characters fall into 256 classes.
 GROUP_ENTRIES = 4_000_000
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 _START = 255  # stands before a text; no character has this class
 
