@@ -34,7 +34,7 @@ def parser() -> argparse.ArgumentParser:
     for job in (silver, both):
         job.add_argument("--bronze", required=True)
         job.add_argument("--silver", required=True)
-        job.add_argument("--format", choices=["delta", "parquet"])
+        job.add_argument("--format", choices=["delta", "parquet"], default="delta")
     for job in (one, both):
         job.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE)
     return out

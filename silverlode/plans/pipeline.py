@@ -52,7 +52,7 @@ def _json_table(bronze: dict[str, DataFrame], name: str) -> tuple[DataFrame, Str
     return normalize(bronze[table.source], table), table.output_schema(BRONZE[table.source])
 
 
-def build_silver(spark: SparkSession, bronze_path: str, silver_path: str, fmt: str | None = None) -> list[str]:
+def build_silver(spark: SparkSession, bronze_path: str, silver_path: str, fmt: str = "delta") -> list[str]:
     """Overwrite all Silver tables and return their names.
 
     Each table is its own map-only job over its own columns, so nothing is cached. A few jobs run at
@@ -80,7 +80,7 @@ def run_pipeline(
     credits_csv: str,
     bronze_path: str,
     silver_path: str,
-    fmt: str | None = None,
+    fmt: str = "delta",
     rows_per_file: int = ROWS_PER_FILE,
 ) -> list[str]:
     """Load movies, load credits, then build all Silver tables."""

@@ -39,11 +39,6 @@ def build_session(app_name: str, *settings: dict[str, str]) -> SparkSession:
     return builder.getOrCreate()
 
 
-def table_format(spark: SparkSession) -> str:
-    """``delta`` when the session is set up for it, else ``parquet``."""
-    return "delta" if "io.delta." in (spark.conf.get("spark.sql.extensions", None) or "") else "parquet"
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that all executors share (``spark.checkpoint.dir``).
 

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from silverlode.model import check_schema
-from silverlode.session import table_format
 
 # Documents run to kilobytes, so this keeps files in the hundreds of megabytes.
 ROWS_PER_FILE = 100_000
@@ -24,12 +23,19 @@ def write_bronze(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, m
     df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(path, compression="zstd")
 
 
-def write_silver(df: DataFrame, path: str, schema: StructType, fmt: str | None = None) -> None:
+def write_silver(df: DataFrame, path: str, schema: StructType, fmt: str = "delta") -> None:
     """Overwrite a Silver table, after checking it against its declared schema.
 
-    ``fmt`` is ``delta`` or ``parquet``; by default Delta where the session is set up for it. A
-    Delta overwrite is atomic. A Parquet one is not: the old files go first, so a reader may find
-    the table missing, and it must not be a path that ``df`` reads from.
+    ``fmt`` is ``delta``, which fails where Delta cannot be loaded, or ``parquet``, which must be asked for by name and is
+    refused on a path that holds a Delta table. A Delta overwrite is atomic. A Parquet one is not: the old files go
+    first, so a reader may find the table missing, and it must not be a path that ``df`` reads from.
     """
     check_schema(df.schema, schema, path)
-    df.write.format(fmt or table_format(df.sparkSession)).mode("overwrite").save(path)
+    if fmt == "parquet" and _exists(df.sparkSession, f"{path.rstrip('/')}/_delta_log"):
+        raise ValueError(f"{path} is a Delta table; a Parquet overwrite would delete its history")
+    df.write.format(fmt).mode("overwrite").save(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
