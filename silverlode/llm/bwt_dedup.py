@@ -69,7 +69,8 @@ class Block:
                 begin = np.flatnonzero(new)
                 self.start = at[begin]
                 self.stop = at[np.append(begin[1:], len(at)) - 1] + 1
-                self.doc, self.anchor = doc[begin], hashes[begin]
+                # Least hashes are low ones: mixed again, they fill the ranges evenly.
+                self.doc, self.anchor = doc[begin], _mix(hashes[begin] * np.uint64(0x9E3779B97F4A7C15))
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """The different anchors in order, and which of them two documents here have."""
