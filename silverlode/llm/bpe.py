@@ -9,10 +9,13 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from silverlode.llm.common import kept
+
 # Words longer than this (in bytes) are merged with a heap: one merge a round would make their rounds quadratic.
 LONG_WORD = 256
 WORDS_PER_QUERY = 40_000
@@ -220,11 +223,8 @@ def _with_column(batch: pa.RecordBatch, name: str, values: list[bytes]) -> pa.Re
     )
 
 
-def _schema_with(df: DataFrame, name: str) -> T.StructType:
-    return T.StructType([*[f for f in df.schema if f.name != name], T.StructField(name, T.BinaryType(), False)])
-
-
-_KEPT: dict = {}  # in a Python worker: what it has built, for its later tasks
+def _schema_with(df: DataFrame, *names: str) -> T.StructType:
+    return T.StructType([*[f for f in df.schema if f.name not in names], *[T.StructField(n, T.BinaryType(), False) for n in names]])
 
 
 def _sent(df: DataFrame, path: str) -> Broadcast:
@@ -248,15 +248,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
     table = _sent(docs, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest, ranks = table.value
-        key = ("encode", digest, pattern)
-        encoder = _KEPT.get(key) or _KEPT.setdefault(key, Encoder(ranks, pattern))
+        encoder = _encoder(table, pattern)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            ids: list[bytes] = []
-            for step in _steps([len(t or "") for t in texts], CHARS_PER_STEP):
-                ids += encoder.texts(texts[step])
-            yield _with_column(batch, out, ids)
+            yield from _encoded(batch, encoder, text, out)
 
     return docs.mapInArrow(run, _schema_with(docs, out))
 
@@ -270,14 +264,45 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
     table = _sent(encoded, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest, ranks = table.value
-        key = ("decode", digest)
-        decoder = _KEPT.get(key) or _KEPT.setdefault(key, Decoder(ranks))
+        decoder = _decoder(table)
         for batch in batches:
-            given = [x or b"" for x in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
-            decoded: list[bytes] = []
-            for step in _steps([len(x) // 4 for x in given], TOKENS_PER_STEP):
-                decoded += decoder.texts(given[step])
-            yield _with_column(batch, out, decoded)
+            yield from _decoded(batch, decoder, ids, out)
 
     return encoded.mapInArrow(run, _schema_with(encoded, out))
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """``decode(encode(docs))`` in one Python worker a task, where the two after each other would hold two."""
+    table = _sent(docs, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = _encoder(table, pattern), _decoder(table)
+        for batch in batches:
+            for piece in _encoded(batch, encoder, text, ids):
+                yield from _decoded(piece, decoder, ids, out)
+
+    return docs.mapInArrow(run, _schema_with(docs, ids, out))
+
+
+def _encoder(table: Broadcast, pattern: str) -> Encoder:
+    digest, ranks = table.value
+    return kept("bpe", ("encode", digest, pattern), lambda: Encoder(ranks, pattern))
+
+
+def _decoder(table: Broadcast) -> Decoder:
+    digest, ranks = table.value
+    return kept("bpe", ("decode", digest), lambda: Decoder(ranks))
+
+
+def _encoded(batch: pa.RecordBatch, encoder: Encoder, text: str, out: str) -> Iterator[pa.RecordBatch]:
+    """The batch with its ids, in pieces of bounded size."""
+    column = batch.column(batch.schema.get_field_index(text))
+    for step in _steps(pc.fill_null(pc.utf8_length(column), 0).to_pylist(), CHARS_PER_STEP):
+        yield _with_column(batch[step], out, encoder.texts(column[step].to_pylist()))
+
+
+def _decoded(batch: pa.RecordBatch, decoder: Decoder, ids: str, out: str) -> Iterator[pa.RecordBatch]:
+    """The batch with what its ids stand for, in pieces of bounded size."""
+    column = batch.column(batch.schema.get_field_index(ids))
+    for step in _steps([n // 4 for n in pc.fill_null(pc.binary_length(column), 0).to_pylist()], TOKENS_PER_STEP):
+        yield _with_column(batch[step], out, decoder.texts([x or b"" for x in column[step].to_pylist()]))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Callable, Hashable
 from functools import reduce
 from pathlib import Path
 
@@ -68,6 +69,22 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("component"))
 
 
+_KEPT: dict[str, dict] = {}
+
+
+def kept[V](operator: str, key: Hashable = None, build: Callable[[], V] = lambda: None) -> V:
+    """In a Python worker: what ``operator`` has built under ``key``, for its later tasks there.
+
+    A worker goes from stage to stage, so what other operators have kept in it is let go first.
+    """
+    for other in _KEPT.keys() - {operator}:
+        del _KEPT[other]
+    own = _KEPT.setdefault(operator, {})
+    if key not in own:
+        own[key] = build()
+    return own[key]
+
+
 _SHIPPED: dict[str, str] = {}
 
 

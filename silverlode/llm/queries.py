@@ -93,8 +93,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digest(docs: DataFrame) -> DataFrame:
     """doc_id, number and digest of a text's ids, and the digest of the bytes that these decode to."""
-    encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).select("doc_id", "ids")
-    return bpe.decode(encoded, RANKS).select(
+    return bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
