@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.llm.common import stored
+from silverlode.llm.common import kept, stored
 
 ORDER = 3
 SYMBOLS = "#*$%&|<>"
@@ -68,10 +68,15 @@ def _language(lang: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), lang), F.lit(""))
 
 
+def _texts(batch: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch, which come once: in the rows carried, or else beside them."""
+    return batch.column("text") if "text" in batch.schema.names else batch.column("row").field("text")
+
+
 def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, list[str]]]:
     """(language, places in the batch, texts), in pieces of bounded size."""
     langs = np.array(batch.column("language").to_pylist(), object)
-    texts = batch.column("text").to_pylist()
+    texts = _texts(batch).to_pylist()
     for lang in sorted(set(langs.tolist())):
         at = np.flatnonzero(langs == lang)
         own = [texts[i] or "" for i in at]
@@ -83,6 +88,7 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """(language, gram, n) over all characters of all texts: summed up within a task, then by Spark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("perplexity")
         totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             for lang, _, texts in _by_language(batch):
@@ -235,7 +241,7 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def _measured(docs: DataFrame, models: dict[str, Model]) -> DataFrame:
-    """``docs`` (row, language, text) of the models' languages with their counts and mean log perplexity; without text."""
+    """``docs`` (row, language, print, and text if the row has none) of the models' languages with their counts and mean log perplexity; without text."""
     sent = docs.sparkSession.sparkContext.broadcast(models)
     schema = T.StructType(
         [
@@ -248,6 +254,7 @@ def _measured(docs: DataFrame, models: dict[str, Model]) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("perplexity")
         for batch in batches:
             mean = np.full(batch.num_rows, np.nan)
             for lang, at, texts in _by_language(batch):
@@ -256,7 +263,7 @@ def _measured(docs: DataFrame, models: dict[str, Model]) -> DataFrame:
                 logp = sent.value[lang].logp(different)[place]
                 sums = np.diff(np.append(0, logp.cumsum())[np.append(0, lengths.cumsum())])
                 mean[at] = np.where(lengths > 0, -sums / np.maximum(lengths, 1), np.nan)
-            counts = np.array([base_counts(t.as_py()) for t in batch.column("text")], np.int64).reshape(-1, len(COUNTS))
+            counts = np.array([base_counts(t.as_py()) for t in _texts(batch)], np.int64).reshape(-1, len(COUNTS))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"),
@@ -308,8 +315,8 @@ def rules(docs: DataFrame, carried: list[str] | None = None) -> DataFrame:
     given = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
         _language(F.col("lang")).alias("language"),
-        "text",
         F.xxhash64("text").alias("print"),
+        *(["text"] if "text" not in columns else []),
     )
     parts = []
     seen: list[str] = []
