@@ -20,7 +20,7 @@ from pyspark.sql.types import (
 from silverlode.functions import blank_null_words, quoted, typed
 from silverlode.functions.text import FALSE_WORDS, INTEGER_TEXT, NUMBER_TEXT, TRUE_WORDS
 from silverlode.session import Scratch
-from silverlode.sources.split import CSV_FORMAT, RECORD, split_records
+from silverlode.sources.split import CSV_FORMAT, RECORD, leaves_open, split_records, unclosed_file
 
 # A file up to this size is one task's work, of seconds to a minute; a larger one is read in
 # parallel pieces. That takes more work per byte, so it is not the way for small files.
@@ -52,8 +52,14 @@ def read_csv(
     is worth a shuffle where costly work such as a write follows.
     """
     header = _header(spark, path)
-    found = _look_over(spark, path)
-    if found["largest"] > split_above or found["cr_lf"] or found["odd_quotes"]:
+    loose_header = _column_names(header) != header
+    found = _look_over(spark, path, loose_header)
+    if found["opens"]:
+        unclosed = unclosed_file(spark, path)
+        if unclosed:
+            raise ValueError(f"{unclosed}: a quoted field is never closed")
+    heads_may_differ = loose_header and (found["heads"] > 1 or any("\n" in name for name in header))
+    if found["largest"] > split_above or found["cr_lf"] or heads_may_differ:
         raw = split_records(spark, path, header, found["total"], scratch or Scratch(spark))
     else:
         raw = _whole_files(spark, path, header)
@@ -95,21 +101,32 @@ def _column_names(header: list[str]) -> list[str]:
     return names
 
 
-def _look_over(spark: SparkSession, path: str) -> Row:
+def _look_over(spark: SparkSession, path: str, compare_heads: bool) -> Row:
     """File sizes, and whether any file needs more care than a task reading it from end to end gives.
 
     Such a task would lose the carriage returns of line ends inside quoted fields, and would take
-    the rest of a file for the value of a field that is never closed. The latter can be ruled out
-    by an even number of quotes. This pass is far cheaper than a parse and splits any file.
+    the rest of a file for the value of a field that is never closed. Where no line that starts
+    outside quotes ends within them (``opens``), all fields are closed. With ``compare_heads``,
+    ``heads`` is the number of different first lines.
     """
-    text = F.col("value")
+    text, line = F.col("value"), F.col("line")
+    head = F.btrim(text, F.lit(" \t\r\ufeff"))
+    is_head = (F.col("block") == 0) & (head != "")
     by_file = (
         spark.read.text(path, lineSep="\n")
-        .groupBy("_metadata.file_path")
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_size").alias("file_size"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+        )
+        .groupBy("file")
         .agg(
-            F.max("_metadata.file_size").alias("size"),
+            F.max("file_size").alias("size"),
             F.max(text.endswith("\r")).alias("cr_lf"),
-            (F.sum(F.octet_length(text) - F.octet_length(F.replace(text, F.lit('"')))) % 2 == 1).alias("odd_quotes"),
+            F.max(F.when(text.contains('"'), leaves_open(text)).otherwise(False)).alias("opens"),
+            (F.min_by(F.xxhash64(head), F.when(is_head, line)) if compare_heads else F.lit(0)).alias("head"),
         )
     )
     return by_file.agg(
@@ -117,7 +134,8 @@ def _look_over(spark: SparkSession, path: str) -> Row:
         F.max("size").alias("largest"),
         F.sum("size").alias("total"),
         F.max("cr_lf").alias("cr_lf"),
-        F.max("odd_quotes").alias("odd_quotes"),
+        F.max("opens").alias("opens"),
+        F.count_distinct("head").alias("heads"),
     ).first()
 
 
@@ -136,7 +154,8 @@ def _spread(raw: DataFrame, files: int, size: int) -> DataFrame:
 def _whole_files(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
     """One task reads a file from end to end.
 
-    Each file's header is checked, unless a schema cannot state it as names are blank or repeated.
+    Each file's header is checked here, unless a schema cannot state it as names are blank or
+    repeated; the caller has compared those.
     """
     names = _column_names(header)
     schema = StructType([StructField(n, StringType()) for n in [*names, RECORD]])

@@ -56,8 +56,12 @@ def _staged_lines(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame
     Block bounds and line numbers come from the way this one scan was planned. Writing them down
     keeps them the same for both later passes, also after an executor is lost.
     """
+    return _staged(spark, _line_effects(spark, path), scratch.path("lines"))
+
+
+def _line_effects(spark: SparkSession, path: str) -> DataFrame:
     has_quote = F.col("value").contains('"')
-    lines = (
+    return (
         spark.read.text(path, lineSep="\n")
         .select(
             F.col("_metadata.file_path").alias("file"),
@@ -65,10 +69,9 @@ def _staged_lines(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame
             F.monotonically_increasing_id().alias("line"),
             "value",
         )
-        .withColumn("opens", F.when(has_quote, _leaves_open(F.col("value"))).otherwise(False))
-        .withColumn("stays", F.when(has_quote, _leaves_open(F.concat(F.lit('"'), "value"))).otherwise(True))
+        .withColumn("opens", F.when(has_quote, leaves_open(F.col("value"))).otherwise(False))
+        .withColumn("stays", F.when(has_quote, leaves_open(F.concat(F.lit('"'), "value"))).otherwise(True))
     )
-    return _staged(spark, lines, scratch.path("lines"))
 
 
 def _staged(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
@@ -76,7 +79,7 @@ def _staged(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _leaves_open(text: Column) -> Column:
+def leaves_open(text: Column) -> Column:
     """True if a quoted field is open at the end of a text that starts at a field's start.
 
     Doubled quotes never change this, so they are taken out first. Then whole fields are taken off
@@ -109,23 +112,51 @@ def _with_open_before(df: DataFrame, partition: list[str], order: list[str]) ->
     )
 
 
-def _staged_heads(spark: SparkSession, lines: DataFrame, partitions: int | None, scratch: Scratch) -> DataFrame:
-    """Blocks that begin inside a record: the head's last line, and the block it belongs to.
+def _no_effect() -> Column:
+    return F.struct(F.lit(False).alias("opens"), F.lit(True).alias("stays"))
 
-    Only lines that change the state are collected, as one number each, and a group is one block.
-    """
+
+def _then(so_far: Column, opens: Column, stays: Column) -> Column:
+    """The effect of some text followed by text that has the effect ``opens`` and ``stays``."""
+    return F.struct(
+        F.when(so_far["opens"], stays).otherwise(opens).alias("opens"),
+        F.when(so_far["stays"], stays).otherwise(opens).alias("stays"),
+    )
+
+
+def _block_effect() -> Column:
+    """Of the lines of a group. Only those that change the state are collected, as one number each."""
     packed = F.col("line") * 4 + F.col("opens").cast("int") * 2 + F.col("stays").cast("int")
     changes = F.array_sort(F.collect_list(F.when(F.col("opens") | ~F.col("stays"), packed)))
+    return F.aggregate(
+        changes,
+        _no_effect(),
+        lambda so_far, line: _then(so_far, line.bitwiseAND(2) > 0, line.bitwiseAND(1) > 0),
+    )
 
-    def then(so_far: Column, line: Column) -> Column:
-        opens, stays = line.bitwiseAND(2) > 0, line.bitwiseAND(1) > 0
-        return F.struct(
-            F.when(so_far["opens"], stays).otherwise(opens).alias("opens"),
-            F.when(so_far["stays"], stays).otherwise(opens).alias("stays"),
-        )
 
+def unclosed_file(spark: SparkSession, path: str) -> str | None:
+    """A file that ends within a quoted field, by the effects of its lines; None if there is none.
+
+    One pass without writing text down; what is grouped is a number a line, by block, and then a few
+    numbers a block, by file.
+    """
+    blocks = _line_effects(spark, path).groupBy("file", "block").agg(_block_effect().alias("effect"))
+    in_order = F.array_sort(F.collect_list(F.struct("block", "effect")))
+    whole = F.aggregate(
+        in_order, _no_effect(), lambda so_far, b: _then(so_far, b["effect"]["opens"], b["effect"]["stays"])
+    )
+    files = blocks.groupBy("file").agg(whole.alias("effect"))
+    return files.agg(F.max(F.when(F.col("effect.opens"), F.col("file")))).first()[0]
+
+
+def _staged_heads(spark: SparkSession, lines: DataFrame, partitions: int | None, scratch: Scratch) -> DataFrame:
+    """Blocks that begin inside a record: the head's last line, and the block it belongs to.
+
+    A group is one block.
+    """
     blocks = lines.groupBy("file", "block").agg(
-        F.aggregate(changes, F.struct(F.lit(False).alias("opens"), F.lit(True).alias("stays")), then).alias("effect"),
+        _block_effect().alias("effect"),
         F.min(F.when(~F.col("stays"), F.col("line"))).alias("closes"),
         F.max("line").alias("last_line"),
     )

@@ -301,11 +301,45 @@ SOME = struct(c0="string", c1="string", c2="string", c5="string")
 @given(st.lists(st.text(alphabet='a",\n', max_size=30), min_size=1, max_size=8))
 @settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
 def test_raw_text_is_cut_alike(spark, tmp_path_factory, small_splits, parts):
-    """Any bytes at all, stray quotes included: split reading finds the records whole reading finds."""
+    """Any bytes at all, stray quotes and open ends included: split reading finds the records whole reading finds, or both fail."""
     path = tmp_path_factory.mktemp("csv") / "in.csv"
-    path.write_text(",".join(f"c{i}" for i in range(40)) + "\n" + "\n".join(parts) + '\n"end"\n')
-    whole, split = (
-        [tuple(r) for r in read_csv(spark, str(path), SOME, above).collect()]
-        for above in (1 << 40, -1)
-    )
-    assert sorted(whole, key=repr) == sorted(split, key=repr)
+    path.write_text(",".join(f"c{i}" for i in range(40)) + "\n" + "\n".join(parts) + "\n")
+
+    def read(above):
+        try:
+            return rows(read_csv(spark, str(path), SOME, above))
+        except ValueError as error:
+            return str(error)
+
+    assert read(1 << 40) == read(-1)
+
+
+@whole_and_split
+def test_stray_quote_hides_no_open_field(spark, tmp_path, small_splits, split_above):
+    """An even number of quotes, one of them stray and one never closed."""
+    path = put(tmp_path, b'id,a,b\n1,5" disk,x\n2,p,"open\n3,p,q\n4,r,s\n', "bad.csv")
+    with pytest.raises(ValueError, match="bad.csv: a quoted field is never closed"):
+        read_csv(spark, path, struct(id="long", a="string", b="string"), split_above)
+
+
+@whole_and_split
+def test_stray_quotes_lose_no_rows(spark, tmp_path, small_splits, split_above):
+    path = put(tmp_path, b'id,a,b\n1,5" disk,x\n2,p,"two\nlines"\n3,6",q\n4,r,s"\n')
+    got = rows(read_csv(spark, path, struct(id="long", a="string", b="string"), split_above))
+    assert got == [(1, '5" disk', "x"), (2, "p", "two\nlines"), (3, '6"', "q"), (4, "r", 's"')]
+
+
+@whole_and_split
+@pytest.mark.parametrize("other", ["b,a,a", '"a\nx",a,b'])
+def test_other_headers_with_repeated_names_are_refused(spark, tmp_path, small_splits, split_above, other):
+    put(tmp_path, b"a,a,b\n1,2,3\n", "first.csv")
+    path = put(tmp_path, f"{other}\n4,5,6\n".encode(), "second.csv")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, path, struct(a="long", b="long"), split_above).collect()
+
+
+@whole_and_split
+def test_repeated_names_in_quotes_or_not_are_one_header(spark, tmp_path, small_splits, split_above):
+    put(tmp_path, b"a,a,b\n1,2,3\n", "first.csv")
+    path = put(tmp_path, b'"a",a,b\n4,5,6\n', "second.csv")
+    assert rows(read_csv(spark, path, struct(a="long", b="long"), split_above)) == [(1, 3), (4, 6)]
