@@ -65,9 +65,33 @@ class Scratch:
         return f"{self._folder}/{name}"
 
     def clear(self) -> None:
-        """Delete the tables: an overwrite of the folder leaves one empty table."""
         if self._used:
-            self._spark.range(0).write.mode("overwrite").parquet(self._folder)
+            delete(self._spark, self._folder)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, at = _files(spark, path)
+    return files.exists(at)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it."""
+    files, at = _files(spark, path)
+    files.delete(at, True)
+
+
+def replace_folder(spark: SparkSession, path: str, by: str) -> None:
+    """Put the folder ``by`` in the place of ``path``, whose content goes."""
+    files, at = _files(spark, path)
+    files.delete(at, True)
+    if not files.rename(_files(spark, by)[1], at):
+        raise OSError(f"{by} could not be renamed to {path}")
+    spark.catalog.refreshByPath(path)
+
+
+def _files(spark: SparkSession, path: str) -> tuple:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 @contextmanager

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from silverlode.model import check_schema
+from silverlode.session import delete, exists, replace_folder
 
 # Documents run to kilobytes, so this keeps files in the hundreds of megabytes.
 ROWS_PER_FILE = 100_000
@@ -16,11 +19,22 @@ def write_bronze(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, m
 
     ``mode`` is ``overwrite``, which replaces the whole directory and so leaves no rows of an
     earlier, longer load, or ``errorifexists``. An empty table leaves one file with the schema.
-    The old files go before the new ones are written, so a load that fails leaves none of them.
+    New files are written beside old ones and take their place when all are there, so a load that
+    fails leaves the old table as it was. The rename is a copy in stores that have none.
     """
     if rows_per_file < 1:
         raise ValueError(f"rows_per_file must be positive, not {rows_per_file}")
-    df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(path, compression="zstd")
+    spark, path = df.sparkSession, path.rstrip("/")
+    replaces = mode == "overwrite" and exists(spark, path)
+    target = f"{path}-{uuid.uuid4().hex}.new" if replaces else path
+    try:
+        df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(target, compression="zstd")
+    except BaseException:
+        if replaces:
+            delete(spark, target)
+        raise
+    if replaces:
+        replace_folder(spark, path, target)
 
 
 def write_silver(df: DataFrame, path: str, schema: StructType, fmt: str = "delta") -> None:
@@ -31,11 +45,7 @@ def write_silver(df: DataFrame, path: str, schema: StructType, fmt: str = "delta
     first, so a reader may find the table missing, and it must not be a path that ``df`` reads from.
     """
     check_schema(df.schema, schema, path)
-    if fmt == "parquet" and _exists(df.sparkSession, f"{path.rstrip('/')}/_delta_log"):
+    if fmt == "parquet" and exists(df.sparkSession, f"{path.rstrip('/')}/_delta_log"):
         raise ValueError(f"{path} is a Delta table; a Parquet overwrite would delete its history")
     df.write.format(fmt).mode("overwrite").save(path)
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)

@@ -13,7 +13,7 @@ def scan_bronze(spark: SparkSession, path: str, schema: StructType, check: bool
     """A Bronze Parquet directory under its declared schema.
 
     A declared column that the files lack would read as null, so ``check`` compares the declared
-    schema with a file footer, in any column order. Columns not used later are never read.
+    schema with the footer of one file, in any column order; files of one load are alike. Columns not used later are never read.
     """
     if not check:
         return spark.read.schema(schema).parquet(path)
