@@ -124,11 +124,36 @@ SCALARS = {
 # Text, languages and counts as CSV cells, with null words among the languages.
 DOCUMENT_CELLS = """
     SELECT doc_id, text,
-           CASE WHEN doc_id % 4 = 0 THEN 'NA' WHEN doc_id % 4 = 1 THEN 'null' ELSE lang END AS lang, n_chars
+           CASE WHEN doc_id % 4 = 0 THEN 'NA' WHEN doc_id % 4 = 1 THEN 'null' ELSE lang END AS lang, source, n_chars
     FROM {documents}
 """
 
 
+# Documents for orders, in turn by key, that are not what their type says: each with the (id, name) rows it gives.
+ODD_DOCUMENTS = (
+    ("""concat('[{"id":', o_orderkey, ',"name":"cut off"}')""", ()),
+    ("""concat('[', o_orderkey, ',2]')""", ()),
+    (
+        """concat('[{"id":"x","name":"', o_orderstatus, '"},{"id":', o_orderkey, ',"name":"b"}]')""",
+        (("NULL", "o_orderstatus"), ("o_orderkey", "'b'")),
+    ),
+    ("""concat('[null,{"id":', o_orderkey, '}]')""", (("NULL", "NULL"), ("o_orderkey", "NULL"))),
+    (
+        """concat('[{"id":1,"id":', o_orderkey, ',"name":"', o_orderpriority, '"}]')""",
+        (("o_orderkey", "o_orderpriority"),),
+    ),
+    ("'   '", ()),
+    ("""concat('[{"id":', o_orderkey, ',"name":"a"}] x')""", (("o_orderkey", "'a'"),)),
+    ("NULL", ()),
+    (
+        """concat('{"id":', o_orderkey, ',"name":"', o_orderpriority, '"}')""",
+        (("o_orderkey", "o_orderpriority"),),
+    ),
+    ("""concat('[{"id":3000000000,"name":"', o_orderstatus, '"}]')""", (("NULL", "o_orderstatus"),)),
+    ("""concat('[{"ID":', o_orderkey, ',"name":{"q":1}}]')""", (("NULL", """'{"q":1}'"""),)),
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -175,6 +200,11 @@ def _document(elements: Elements) -> str:
     return f"CASE WHEN {elements.absent} THEN NULL ELSE to_json(transform({numbers}, i -> named_struct({fields}))) END"
 
 
+def odd_documents(orders: DataFrame) -> DataFrame:
+    turns = " ".join(f"WHEN {i} THEN {document}" for i, (document, _) in enumerate(ODD_DOCUMENTS))
+    return orders.selectExpr("o_orderkey", f"CASE o_orderkey % {len(ODD_DOCUMENTS)} {turns} END AS document")
+
+
 def csv_of(spark: SparkSession, sf_dir: str, name: str) -> str:
     """The path of CSV files with the rows of ``movies``, ``credits`` or ``documents``."""
 
@@ -227,10 +257,22 @@ def documents_sql(null_words: tuple[str, ...]) -> str:
     cells = DOCUMENT_CELLS.format(documents="documents")
     return (
         f"SELECT doc_id, CASE WHEN text IN ({words}) THEN NULL ELSE text END AS text, "
-        f"CASE WHEN lang IN ({words}) THEN NULL ELSE lang END AS lang, n_chars FROM ({cells})"
+        f"CASE WHEN lang IN ({words}) THEN NULL ELSE lang END AS lang, "
+        f"CASE WHEN source IN ({words}) THEN NULL ELSE source END AS source, n_chars FROM ({cells})"
     )
 
 
+def odd_sql(no_id: int) -> str:
+    """The rows that the odd documents give."""
+    found = [
+        f"SELECT o_orderkey AS order_id, CAST(COALESCE({id_}, {no_id}) AS INTEGER) AS id, CAST({name} AS VARCHAR) AS name "
+        f"FROM orders WHERE o_orderkey % {len(ODD_DOCUMENTS)} = {i}"
+        for i, (_, rows) in enumerate(ODD_DOCUMENTS)
+        for id_, name in rows
+    ]
+    return " UNION ALL ".join(found)
+
+
 def counts_sql() -> str:
     """Rows of each Silver table."""
     counts = ["SELECT 'movies' AS table_name, COUNT(*) AS n FROM part"]
