@@ -283,6 +283,14 @@ def test_encoding_is_that_of_the_library(spark, sf_dir):
         decoder.texts([np.array([1 << 20], "<u4").tobytes()])
 
 
+def test_round_trip_is_decode_of_encode(spark, sf_dir, odd_docs):
+    for docs in (odd_docs, spark.read.parquet(f"{sf_dir}/documents.parquet")):
+        two = bpe.decode(bpe.encode(docs, queries.RANKS, public_tokenizers.PATTERN), queries.RANKS)
+        one = bpe.round_trip(docs, queries.RANKS, public_tokenizers.PATTERN)
+        assert one.columns == two.columns
+        assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+
+
 # -- odd rows
 
 
