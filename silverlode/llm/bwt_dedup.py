@@ -21,6 +21,7 @@ LEAST_BLOCKS = 16
 # Windows of one segment at most: their verdicts fit a 32-bit mask.
 SEGMENT = 32
 TRANSFORM_BYTES = 1 << 19
+PIECE = 1 << 14
 
 _SPAN = LENGTH - ANCHOR + 1
 
@@ -32,15 +33,20 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def _window_hashes(data: np.ndarray) -> np.ndarray:
     """For each window of 50 bytes, the least hash of the 24-byte strings in it: a function of the window alone."""
-    word = data.astype(np.uint64)
-    for step in (1, 2, 4):
-        word = word[:-step] | (word[step:] << np.uint64(8 * step))
-    h = _mix(word[:-16] * np.uint64(0x9E3779B97F4A7C15))
-    h = _mix((h ^ word[8:-8]) * np.uint64(0xC2B2AE3D27D4EB4F))
-    h = _mix((h ^ word[16:]) * np.uint64(0x9FB21C651E98DF25))
-    for step in (1, 2, 4, 8):
-        h = np.minimum(h[:-step], h[step:])
-    return np.minimum(h[: -(_SPAN - 16)], h[_SPAN - 16 :])
+    out = np.empty(len(data) - LENGTH + 1, np.uint64)
+    for begin in range(0, len(out), PIECE):  # pieces that stay in the processor's cache
+        part = out[begin : begin + PIECE]
+        word = data[begin : begin + len(part) + LENGTH - 1].astype(np.uint64)
+        for step in (1, 2, 4):
+            word = word[:-step] | (word[step:] << np.uint64(8 * step))
+        h = word[:-16] * np.uint64(0x9E3779B97F4A7C15)
+        h += word[8:-8] * np.uint64(0xC2B2AE3D27D4EB4F)
+        h += word[16:] * np.uint64(0x9FB21C651E98DF25)
+        h = _mix(h ^ (h >> np.uint64(31)))
+        for step in (1, 2, 4, 8):
+            h = np.minimum(h[:-step], h[step:])
+        np.minimum(h[: -(_SPAN - 16)], h[_SPAN - 16 :], out=part)
+    return out
 
 
 class Block:
@@ -57,20 +63,24 @@ class Block:
         self.start, self.stop, self.doc, self.anchor = empty, empty, empty, empty.astype(np.uint64)
         if len(self.data) >= LENGTH:
             hashes = _window_hashes(np.frombuffer(self.data, np.uint8))
-            at = np.arange(len(hashes))
-            doc = np.repeat(np.arange(len(docs)), sizes)[: len(hashes)]
-            valid = at + LENGTH <= self.first[doc + 1]
-            at, doc, hashes = at[valid], doc[valid], hashes[valid]
-            if len(at):
-                new = np.ones(len(at), bool)
-                new[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
-                run = np.flatnonzero(new)
-                new |= (np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))) % SEGMENT == 0
-                begin = np.flatnonzero(new)
-                self.start = at[begin]
-                self.stop = at[np.append(begin[1:], len(at)) - 1] + 1
+            valid = np.ones(len(hashes) + 1, bool)  # windows that do not reach into the next document
+            valid[-1] = False
+            for begin, end in zip(self.first[:-1].tolist(), self.first[1:].tolist(), strict=True):
+                valid[max(begin, end - LENGTH + 1) : end] = False
+            new = valid[:-1].copy()
+            new[1:] &= (hashes[1:] != hashes[:-1]) | ~valid[:-2]
+            begin = np.flatnonzero(new)
+            # A run ends where the next begins or, at a document's end, with its last window.
+            last = np.flatnonzero(valid[:-1] & ~valid[1:]) + 1
+            if len(begin):
+                end = np.minimum(np.append(begin[1:], len(hashes)), last[np.searchsorted(last, begin, "right")])
+                pieces = -(-(end - begin) // SEGMENT)
+                number = np.arange(pieces.sum()) - np.repeat(pieces.cumsum() - pieces, pieces)
+                self.start = np.repeat(begin, pieces) + number * SEGMENT
+                self.stop = np.minimum(self.start + SEGMENT, np.repeat(end, pieces))
+                self.doc = np.searchsorted(self.first, self.start, "right") - 1
                 # Least hashes are low ones: mixed again, they fill the ranges evenly.
-                self.doc, self.anchor = doc[begin], _mix(hashes[begin] * np.uint64(0x9E3779B97F4A7C15))
+                self.anchor = _mix(hashes[self.start] * np.uint64(0x9E3779B97F4A7C15))
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """The different anchors in order, and which of them two documents here have."""
