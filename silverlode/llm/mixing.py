@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +14,9 @@ MAX_REPEATS = 3
 BLOCK_WORDS = 16
 SHARD_WORDS = 1 << 16
 SEED = 17
+# Steps of a golden section of the cycle fall evenly into it, however many are made.
+GOLDEN_CYCLE = 1 << 31
+GOLDEN_STEP = 1_327_217_885
 # A word with the white space behind it, so that cut texts keep their line ends.
 PIECE = WORD + r"[\x20\x09-\x0D]*"
 
@@ -46,18 +49,43 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], max_repeats: int)
     )
 
 
-def quotas(cells: DataFrame, block_words: int, max_repeats: int) -> DataFrame:
-    """Blocks for each cell (shard, key) by highest quotients ``aim / (2k + 1)`` within its shard.
+def _dither(shard: Column, salt: Column) -> Column:
+    """Even steps through [0, 1) from shard to shard, from a start that ``salt`` (a hash) sets."""
+    step = F.pmod(shard * GOLDEN_STEP + F.pmod(salt, F.lit(GOLDEN_CYCLE)), F.lit(GOLDEN_CYCLE))
+    return step / GOLDEN_CYCLE
 
-    ``cells`` has (shard, key, cell_size, aim); the result adds blocks (in the cell) and quota (taken). A shard with m sources and n blocks gives a source
-    between ``round(aim * (n - m/2) / all)`` and ``round(aim * (n + m/2) / all)`` blocks, so only the
+
+def quotas(cells: DataFrame, block_words: int, max_repeats: int, seed: int = SEED) -> DataFrame:
+    """Words for each cell (shard, key): blocks by highest quotients ``weight / (2k + 1)`` within its shard.
+
+    ``cells`` has (shard, key, cell_size, aim); the result adds quota, the words taken. A cell has seats up to
+    ``max_repeats`` times its size, of a block each; the last one counts by its real length, so an aim in it is so many of its own
+    words. Rounding would go the same way in all shards where cells are alike, so each weight is the aim in
+    seats, moved by less than half a seat either way, evenly from shard to shard. A shard with m sources and n seats gives a source
+    between ``round(weight * (n - m/2) / all)`` and ``round(weight * (n + m/2) / all)``, so only the
     seats between these are ranked. Groups are as large as there are sources in a shard.
     """
     shard = Window.partitionBy("shard")
-    framed = cells.withColumns(
-        {"all_aims": F.sum("aim").over(shard), "members": F.count(F.lit(1)).over(shard)}
-    ).withColumn("seats", F.round(F.col("all_aims") / block_words))
-    share = F.when(F.col("all_aims") > 0, F.col("aim") / F.col("all_aims")).otherwise(0.0)
+    most_words = F.col("cell_size") * max_repeats
+    before_last = F.greatest(F.ceil(most_words / block_words) - 1, F.lit(0))
+    last = most_words - before_last * block_words
+    seats = F.when(F.col("aim") <= before_last * block_words, F.col("aim") / block_words).otherwise(
+        before_last + F.when(last > 0, (F.col("aim") - before_last * block_words) / last).otherwise(0.0)
+    )
+    moved = F.col("exact") + _dither(F.col("shard"), F.xxhash64(F.lit(seed), "key")) - 0.5
+    framed = (
+        cells.withColumn("exact", seats)
+        # Never 0 where something is aimed at, so that all seats of a shard find a taker.
+        .withColumn("weight", F.greatest(moved, F.col("exact") * 1e-3))
+        .withColumns(
+            {
+                "all_weights": F.sum("weight").over(shard),
+                "members": F.count(F.lit(1)).over(shard),
+                "seats": F.floor(F.sum("exact").over(shard) + _dither(F.col("shard"), F.xxhash64(F.lit(seed)))),
+            }
+        )
+    ).withColumn("weight", F.when(F.col("exact") > 0, F.col("weight")).otherwise(0.0))
+    share = F.when(F.col("all_weights") > 0, F.col("weight") / F.col("all_weights")).otherwise(0.0)
     bounded = framed.withColumns(
         {
             "sure": F.greatest(
@@ -66,32 +94,37 @@ def quotas(cells: DataFrame, block_words: int, max_repeats: int) -> DataFrame:
             "most": F.ceil(share * (F.col("seats") + F.col("members") / 2) + 0.5).cast("long"),
         }
     )
-    seats = (
+    ranked = (
         bounded.withColumn("open", F.col("seats") - F.sum("sure").over(shard))
         .withColumn("k", F.explode(F.sequence("sure", F.greatest(F.col("sure"), F.col("most")))))
         .withColumn(
             "place",
             F.row_number().over(
-                shard.orderBy((F.col("aim") / (2 * F.col("k") + 1)).desc(), "key", "k")
+                shard.orderBy((F.col("weight") / (2 * F.col("k") + 1)).desc(), "key", "k")
             ),
         )
     )
-    blocks = F.ceil(F.col("cell_size") / block_words)
-    won = F.first("sure") + F.count(F.when((F.col("place") <= F.col("open")) & (F.col("aim") > 0), 1))
+    won = F.first("sure") + F.count(F.when((F.col("place") <= F.col("open")) & (F.col("weight") > 0), 1))
     return (
-        seats.groupBy(*cells.columns)
+        ranked.groupBy(*cells.columns)
         .agg(won.alias("won"))
-        .withColumn("blocks", blocks)
-        .withColumn("quota", F.least(F.col("won"), F.col("blocks") * max_repeats))
+        .withColumn("quota", F.least(F.col("won") * block_words, most_words))
         .drop("won")
     )
 
 
-def _taken_before(word: Column, block_words: int) -> Column:
-    """Words below this place of the cell that lie in blocks taken once more; these are spread evenly, from a seeded start."""
-    block = F.floor(word / block_words)
-    upto = lambda b: F.floor((b * F.col("extra") + F.col("start")) / F.col("blocks"))
-    return upto(block) * block_words + (word - block * block_words) * (upto(block + 1) - upto(block))
+def _picked(word: Column, m: Callable[[str], Column]) -> tuple[Column, Column, Column]:
+    """Of the words taken once more: how many lie before this word's block, how many in it, and the word's place in the block.
+
+    ``picks`` of a cell's ``full`` blocks are taken at even steps from a seeded start, and of each the first words, as many as
+    make up ``spread`` in all; of the words behind the full blocks, the first ``tail``.
+    """
+    block = F.least(F.floor(word / m("block_words")), m("full"))
+    upto = lambda b: F.floor((b * m("picks") + m("start")) / F.greatest(m("full"), F.lit(1)))
+    words = lambda picks: F.floor(picks * m("spread") / F.greatest(m("picks"), F.lit(1)))
+    before = words(upto(block))
+    here = F.when(block < m("full"), words(upto(block + 1)) - before).otherwise(m("tail"))
+    return before, here, word - block * m("block_words")
 
 
 def mix(
@@ -107,8 +140,8 @@ def mix(
     Documents are dealt by a seeded hash into shards of about ``shard_words`` words. In each shard a
     source's documents, in seeded order, form one run of words, cut into blocks of ``block_words``.
     The source's target is shared over its shards by size, and every shard gives whole numbers of
-    blocks to its sources by Sainte-Lague. A quota above the number of blocks takes all of them
-    ``mix.copies`` times; the rest picks blocks at even steps from a seeded start, each once more.
+    blocks to its sources by Sainte-Lague; a last block counts by its real length. A quota above the cell's size takes all of it
+    ``mix.copies`` times; the rest, counted in words, picks blocks at even steps from a seeded start, each once more.
 
     ``mix`` has size, source_size, target, copies, taken (words, repeats counted) and what
     ``mixed_texts`` needs. A null text has size 0 and nothing is taken of it; a null source is a source of its own, and
@@ -135,20 +168,30 @@ def mix(
         "aim",
         F.when(F.col("source_size") > 0, F.col("target") * F.col("cell_size") / F.col("source_size")).otherwise(0.0),
     )
-    plan = quotas(aimed, block_words, max_repeats).select(
+    cell = F.col("cell_size")
+    more = F.when(cell > 0, F.col("quota") % cell).otherwise(0)
+    full = F.floor(cell / block_words)
+    plan = quotas(aimed, block_words, max_repeats, seed).select(
         "shard",
         "key",
         "source_size",
         "target",
-        "blocks",
-        F.when(F.col("blocks") > 0, F.floor(F.col("quota") / F.col("blocks"))).otherwise(0).alias("copies"),
-        F.when(F.col("blocks") > 0, F.col("quota") % F.col("blocks")).otherwise(0).alias("extra"),
-        F.when(F.col("blocks") > 0, F.pmod(F.xxhash64(F.lit(seed), "shard", "key"), "blocks")).otherwise(0).alias("start"),
+        F.when(cell > 0, F.floor(F.col("quota") / cell)).otherwise(0).alias("copies"),
+        full.alias("full"),
+        F.least(F.ceil(more / block_words), full).alias("picks"),
+        F.least(more, full * block_words).alias("spread"),
+        F.greatest(more - full * block_words, F.lit(0)).alias("tail"),
+        F.pmod(F.xxhash64(F.lit(seed), "shard", "key"), F.greatest(full, F.lit(1))).alias("start"),
+        F.lit(block_words).alias("block_words"),
     )
     run = Window.partitionBy("shard", "key").orderBy("place", "tie", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("first", F.coalesce(F.sum("size").over(run), F.lit(0))).join(plan, ["shard", "key"])
-    more = _taken_before(F.col("first") + F.col("size"), block_words) - _taken_before(F.col("first"), block_words)
-    taken = F.when(F.col("blocks") > 0, F.col("copies") * F.col("size") + more).otherwise(0).cast("long")
+
+    def before(word: Column) -> Column:
+        done, here, at = _picked(word, F.col)
+        return done + F.least(here, at)
+
+    taken = F.col("copies") * F.col("size") + before(F.col("first") + F.col("size")) - before(F.col("first"))
     return placed.select(
         "row.*",
         F.struct(
@@ -156,12 +199,14 @@ def mix(
             "source_size",
             "target",
             F.col("copies").cast("long").alias("copies"),
-            taken.alias("taken"),
+            taken.cast("long").alias("taken"),
             "first",
-            "blocks",
-            "extra",
+            "full",
+            "picks",
+            "spread",
+            "tail",
             "start",
-            F.lit(block_words).alias("block_words"),
+            "block_words",
         ).alias("mix"),
     )
 
@@ -173,12 +218,15 @@ def mixed_texts(mixed: DataFrame) -> DataFrame:
     ``n_chars`` is counted anew where there is one.
     """
     m = lambda name: F.col(f"mix.{name}")
-    upto = lambda b: F.floor((b * m("extra") + m("start")) / m("blocks"))
-    in_block = lambda b: upto(b + 1) > upto(b)
+
+    def is_picked(word: Column) -> Column:
+        _, here, at = _picked(word, m)
+        return at < here
+
     part = F.array_join(
         F.filter(
             F.regexp_extract_all("text", F.lit(PIECE), F.lit(0)),
-            lambda _, i: in_block(F.floor((m("first") + i) / m("block_words"))),
+            lambda _, i: is_picked(m("first") + i),
         ),
         "",
     )

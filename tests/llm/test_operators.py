@@ -209,6 +209,20 @@ def test_mix_meets_targets(spark, sf_dir):
     assert texts == rows.taken.sum()
 
 
+def test_short_cells_over_many_shards_meet_targets(spark):
+    rows = [(i, "big", "w " * 2000) for i in range(300)]
+    rows += [(1000 + i, "one", "w " * 20) for i in range(300)] + [(2000 + i, "ten", "w " * 100) for i in range(300)]
+    rows += [(3000 + i, "two", "w " * 7) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    mixed = mixing.mix(docs, weights=(1000, 100, 100, 0.5), shard_words=2000).cache()
+    found = mixed.groupBy("source").agg(F.sum("mix.taken").alias("taken"), F.first("mix.target").alias("target")).collect()
+    assert {r.source for r in found} == {"big", "one", "ten", "two"}
+    assert all(abs(r.taken - r.target) <= 0.03 * r.target + 3 * mixing.BLOCK_WORDS for r in found), found
+    texts = mixing.mixed_texts(mixed).select(F.sum(F.regexp_count("text", F.lit(mixing.WORD)))).first()[0]
+    assert texts == sum(r.taken for r in found)
+    assert mixed.where(F.col("mix.taken") > 3 * F.col("mix.size")).isEmpty()
+
+
 def test_excess_of_capped_sources_is_shared_again(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 100), ("c", 1000), (None, 1)], "source string, source_size long")
     found = {r.source: r.target for r in mixing.source_targets(sizes, (5, 2, 1), 3).collect()}
