@@ -14,9 +14,8 @@ from pyspark.sql import types as T
 
 from silverlode.llm.common import stored
 
-# A subtree is template when it stands on so many pages of a host, and on this share of them.
+# A subtree is template when it stands on so many pages of a host, those with equal main parts counted once.
 LEAST_PAGES = 5
-LEAST_SHARE = 0.1
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"'=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[\"'=])*+)>", re.S
@@ -53,14 +52,13 @@ _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th tr tbody t
 
 
 class _Node:
-    __slots__ = ("tag", "dropped", "main", "parent", "children", "digest", "hash", "prose", "holds_main", "size")
+    __slots__ = ("tag", "dropped", "main", "parent", "children", "digest", "hash", "holds_main", "size")
 
     def __init__(self, tag: str, parent: _Node | None, attributes: str) -> None:
         self.tag, self.parent = tag, parent
         self.children: list[_Node | str] = []
         self.digest = xxhash.xxh3_64(tag)
         self.hash = 0
-        self.prose = tag in _PROSE
         self.holds_main = tag in ("article", "main")
         self.size = 0
         self.dropped = tag in _DROPPED
@@ -89,7 +87,6 @@ def _close(node: _Node) -> _Node:
     node.hash = node.digest.intdigest() - (1 << 63)
     parent = node.parent
     parent.digest.update(node.hash.to_bytes(8, "little", signed=True))
-    parent.prose |= node.prose
     parent.holds_main |= node.holds_main and not node.dropped
     parent.size += node.size
     return parent
@@ -153,39 +150,53 @@ def parse(page: str) -> _Node:
             _close(node)
     while at_node.parent:
         at_node = _close(at_node)
+    root.hash = root.digest.intdigest() - (1 << 63)
     return root
 
 
-def _content(root: _Node) -> _Node:
+def _contents(root: _Node) -> list[_Node]:
     """The largest article that is not dropped, else the largest main part, else the whole page."""
     articles: list[_Node] = []
     mains: list[_Node] = []
-    todo = [root]
+    todo = [(root, False)]
     while todo:
-        node = todo.pop()
-        for child in node.children:
-            if isinstance(child, _Node) and (not child.dropped or child.holds_main):
-                if child.tag == "article" and not child.dropped:
-                    articles.append(child)
-                else:
-                    if child.main:
-                        mains.append(child)
-                    todo.append(child)
-    return max(articles or mains or [root], key=lambda n: n.size)
+        node, in_main = todo.pop()
+        if node.tag == "article" and not node.dropped:
+            articles.append(node)
+            continue
+        if node.main and not node.dropped and not in_main:
+            mains.append(node)
+        below = in_main or (node.main and not node.dropped)
+        todo.extend(
+            (child, below)
+            for child in reversed(node.children)
+            if isinstance(child, _Node) and (not child.dropped or child.holds_main)
+        )
+    return [max(articles or mains or [root], key=lambda n: n.size)]
 
 
-def blocks(page: str | None) -> list[tuple[str, list[int]]]:
-    """The blocks of a page's main part in page order: text, and the hashes of the subtrees that may be template.
+def read(page: str | None) -> tuple[list[tuple[str, list[int]]], set[int], int]:
+    """The blocks of a page's main parts in page order (text, and the hashes of the subtrees around it that may be
+    template), the hashes of all such subtrees of the whole page, and the hash of its largest main part.
 
-    In an article or main part, a subtree with prose of its own is not template, however often it recurs: texts that are
-    copied within a host stay.
+    Any block element may be template, but for the largest main part and what is around it. In a main part, neither may
+    an element of prose (p, h1, li, ...) nor one that holds half of the part, however often they recur: texts that are
+    copied within a host stay. What is dropped by name is hashed like all else, and has no text.
     """
     if not page:
-        return []
+        return [], set(), 0
     root = parse(page)
-    content = _content(root)
-    guarded = content is not root
+    contents = _contents(root)
+    largest = max(contents, key=lambda n: n.size)
+    guarded = largest is not root
+    starts = {id(c) for c in contents}
+    around: set[int] = set()
+    node: _Node | None = largest
+    while node:
+        around.add(id(node))
+        node = node.parent
     found: list[tuple[str, list[int]]] = []
+    hashes: set[int] = set()
     open_: list[str] = []
     under: list[int] = []
     block_under: list[int] = []
@@ -196,46 +207,54 @@ def blocks(page: str | None) -> list[tuple[str, list[int]]]:
             found.append((text, block_under))
         open_.clear()
 
-    # Deep pages: (node, None) opens an element, (None, node) closes it.
-    todo: list[tuple[_Node | str | None, _Node | None]] = [(content, None)]
+    def may_recur(node: _Node, part: _Node | None) -> bool:
+        if node.tag not in _BLOCK or node.tag in ("html", "body") or id(node) in around:
+            return False
+        return not guarded or part is None or part is node or (node.tag not in _PROSE and 2 * node.size < part.size)
+
+    # Deep pages: each node comes up once to open it and, with ``closing``, once to close it. ``part`` is the main part
+    # that it lies in; ``live`` tells whether text counts here.
+    todo: list[tuple[_Node | str, bool, _Node | None, bool]] = [(root, False, None, False)]
     while todo:
-        node, closing = todo.pop()
-        if closing is not None:
-            if closing.tag in _BLOCK:
-                flush()
-            if under and under[-1] == closing.hash and _may_recur(closing, guarded, content):
+        node, closing, part, live = todo.pop()
+        if isinstance(node, str):
+            if live:
+                open_.append(node)
+            continue
+        if node.tag in _BLOCK:
+            flush()
+        if closing:
+            if may_recur(node, part):
                 under.pop()
-            block_under = list(under)
-        elif isinstance(node, str):
-            open_.append(node)
-        elif not node.dropped or node is content or (node.holds_main and not guarded):
-            if node.tag in _BLOCK:
-                flush()
-            if _may_recur(node, guarded, content):
+        else:
+            if id(node) in starts:
+                part, live = node, True
+            elif node.dropped and (guarded or not node.holds_main):
+                live = False
+            if may_recur(node, part):
                 under.append(node.hash)
-            block_under = list(under)
-            todo.append((None, node))
-            todo.extend((child, None) for child in reversed(node.children))
-        elif node.tag in _BLOCK:
-            flush()
+                hashes.add(node.hash)
+            todo.append((node, True, part, live))
+            todo.extend((child, False, part, live) for child in reversed(node.children))
+        block_under = list(under) if node.tag in _BLOCK else block_under
     flush()
-    return found
+    return found, hashes, largest.hash
 
 
-def _may_recur(node: _Node, guarded: bool, content: _Node) -> bool:
-    if node is content or node.holds_main or node.tag in ("", "html", "body"):
-        return False
-    return node.tag in _BLOCK and not (guarded and node.prose)
+def blocks(page: str | None) -> list[tuple[str, list[int]]]:
+    """The blocks of a page's main parts in page order: text, and the hashes of the subtrees that may be template."""
+    return read(page)[0]
 
 
 def extract(pages: DataFrame, carried: list[str] | None = None) -> DataFrame:
     """``pages`` (url, html) with a column ``main_text``: the blocks of the main part, joined by a blank line.
 
-    Each page is parsed twice, once to hash and once to cut, so that no copy of the texts is kept between. Menus, footers, forms, scripts and the like go by element, role and class; every other
-    block subtree is hashed, tag by tag with its text, and counted over the pages of its host by Spark. Those on a tenth of a
-    host's pages, and on five at least, are the host's template: their blocks go. Counts are combined before they
-    move, so a hot host costs no more than others. White space within a block becomes one space; character
-    references are decoded.
+    Each page is parsed twice, once to hash and once to cut, so that no copy of the texts is kept between. Every block subtree
+    of the whole page, menus and footers too, is hashed, tag by tag with its text, and counted over the pages of its host by Spark.
+    Those on five pages with different main parts are the host's template: their blocks go. Counts are combined before they
+    move, so a hot host costs no more than others. Of what the count leaves, as on hosts of few pages, what lies outside of articles
+    or main parts goes, and menus, footers, forms, scripts and the like go by element, role and class. White space within
+    a block becomes one space; character references are decoded.
 
     A null or empty page has an empty text; a null or odd url counts as a host of its own name; repeated rows are pages
     like others; an empty table gives no rows. Only columns named in ``carried`` (all, by default) come back; one named
@@ -249,23 +268,25 @@ def extract(pages: DataFrame, carried: list[str] | None = None) -> DataFrame:
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted({h for _, u in blocks(p.as_py()) for h in u}) for p in batch.column("html")]
+            found = [read(p.as_py())[1:] for p in batch.column("html")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("host"), pa.array(found, pa.list_(pa.int64()))],
-                ["key", "host", "subtrees"],
+                [
+                    batch.column("key"),
+                    batch.column("host"),
+                    pa.array([sorted(hashes) for hashes, _ in found], pa.list_(pa.int64())),
+                    pa.array([content for _, content in found], pa.int64()),
+                ],
+                ["key", "host", "subtrees", "content"],
             )
 
     given = pages.select(key, host.alias("host"), "html")
-    schema = given.select("key", "host").schema.add("subtrees", hashes)
+    schema = given.select("key", "host").schema.add("subtrees", hashes).add("content", T.LongType())
     parsed = stored(given.mapInArrow(hashed, schema), "subtrees")
-    seen = parsed.select("key", "host", F.explode("subtrees").alias("subtree"))
-    hosts = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    seen = parsed.select("key", "host", "content", F.explode("subtrees").alias("subtree"))
     template = (
         seen.groupBy("host", "subtree")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count_distinct("content").alias("n"))
         .where(F.col("n") >= LEAST_PAGES)
-        .join(hosts, "host")
-        .where(F.col("n") >= F.col("pages") * LEAST_SHARE)
         .select("host", "subtree")
     )
     hit = seen.join(template, ["host", "subtree"]).groupBy("key").agg(F.collect_set("subtree").alias("template"))
@@ -279,7 +300,7 @@ def extract(pages: DataFrame, carried: list[str] | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "main_text"])
 
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), key, "html")
-    kept = rows.join(hit, "key", "left").select("row", "html", "template")
+    kept = rows.join(hit.hint("merge"), "key", "left").select("row", "html", "template")
     return kept.mapInArrow(
         cut, T.StructType([rows.schema["row"], T.StructField("main_text", T.StringType())])
     ).select("row.*", "main_text")

@@ -195,6 +195,28 @@ def test_what_recurs_on_a_host_goes_and_copied_prose_stays(spark):
     assert found[20] == "Follow us\n\nBody 20" and found[50] == ""
 
 
+def test_whole_pages_are_counted(spark):
+    rows = [
+        (
+            i,
+            f"http://a.example/{i}",
+            f"<p>Welcome to us</p><nav>Menu</nav><article><h1>T{i}</h1><div><p>Body {i}</p></div><div><p>Join us</p></div><p>End {i}</p></article>"
+            if i < 6
+            else f"<article><h1>C</h1><div><p>copied words</p></div></article><i>{i}</i>"
+            if i < 12
+            else f"<p>Body {i}</p>" + ("<div><p>On few pages</p></div>" if i < 17 else ""),
+        )
+        for i in range(100)
+    ]
+    hashes = [templates.read(h)[1] for _, _, h in rows[:2]]
+    assert templates.parse("<nav>Menu</nav>").children[0].hash in hashes[0] & hashes[1]
+    assert templates.parse("<p>Welcome to us</p>").children[0].hash in hashes[0] & hashes[1]
+    found = {r.page_id: r.main_text for r in templates.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(found[i] == f"T{i}\n\nBody {i}\n\nEnd {i}" for i in range(6))
+    assert all(found[i] == "C\n\ncopied words" for i in range(6, 12))
+    assert all(found[i] == f"Body {i}" for i in range(12, 100))
+
+
 # -- mixing, sharding
 
 
