@@ -47,18 +47,22 @@ _NAMES = frozenset(
     "breadcrumbs footer masthead topbar comment comments disqus respond reply replies share sharing social related "
     "recommended recommendations widget widgets toolbar login search pagination pager".split()
 )
+# Words that do not make another thing of a name: site-footer, ad-box.
+_PLAIN = frozenset("site page main top bottom global bar box block wrapper container area inner list links item items".split())
+_NAMED = frozenset("div section article main header ul ol dl table figure details fieldset center".split())
 _MAIN_NAMES = frozenset("article content post entry story main".split())
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th tr tbody thead tfoot table figcaption caption".split())
 
 
 class _Node:
-    __slots__ = ("tag", "dropped", "main", "parent", "children", "digest", "hash", "holds_main", "size")
+    __slots__ = ("tag", "dropped", "main", "inside", "parent", "children", "digest", "hash", "holds_main", "size")
 
     def __init__(self, tag: str, parent: _Node | None, attributes: str) -> None:
         self.tag, self.parent = tag, parent
         self.children: list[_Node | str] = []
         self.digest = xxhash.xxh3_64(tag)
         self.hash = 0
+        self.inside = parent is not None and (parent.inside or parent.main or parent.tag == "article")
         self.holds_main = tag in ("article", "main")
         self.size = 0
         self.dropped = tag in _DROPPED
@@ -68,18 +72,23 @@ class _Node:
         self.holds_main |= self.main
 
     def _read(self, attributes: str) -> None:
-        names: set[str] = set()
         for m in _ATTRIBUTE.finditer(attributes):
             key, value = m[1].lower(), (m[2] or m[3] or m[4] or "")
             if key in ("class", "id"):
-                names.update(re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
+                for token in re.sub(r"([a-z])([A-Z])", r"\1 \2" if self.inside else r"\1-\2", value).lower().split():
+                    self._named(key, token)
             elif key == "role":
                 self.dropped |= value.lower() in _ROLES
                 self.main |= value.lower() == "main"
             elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
                 self.dropped = True
-        self.dropped |= bool(names & _NAMES) and self.tag not in ("html", "body")
-        self.main |= self.tag in ("div", "section") and bool(names & _MAIN_NAMES)
+
+    def _named(self, key: str, token: str) -> None:
+        """What one word of a class or an id says. In an article, only a whole word of a class tells, as ids name its parts."""
+        parts = frozenset(re.split(r"[^a-z0-9]+", token)) - {""}
+        if self.tag in _NAMED:
+            self.dropped |= key == "class" and token in _NAMES if self.inside else bool(parts & _NAMES) and parts <= _NAMES | _PLAIN
+        self.main |= self.tag in ("div", "section") and bool(parts & _MAIN_NAMES)
 
 
 def _close(node: _Node) -> _Node:
@@ -155,7 +164,7 @@ def parse(page: str) -> _Node:
 
 
 def _contents(root: _Node) -> list[_Node]:
-    """The largest article that is not dropped, else the largest main part, else the whole page."""
+    """In page order, the outermost articles that are not dropped, else the outermost main parts, else the whole page."""
     articles: list[_Node] = []
     mains: list[_Node] = []
     todo = [(root, False)]
@@ -172,7 +181,7 @@ def _contents(root: _Node) -> list[_Node]:
             for child in reversed(node.children)
             if isinstance(child, _Node) and (not child.dropped or child.holds_main)
         )
-    return [max(articles or mains or [root], key=lambda n: n.size)]
+    return articles or mains or [root]
 
 
 def read(page: str | None) -> tuple[list[tuple[str, list[int]]], set[int], int]:

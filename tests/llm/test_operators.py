@@ -217,6 +217,20 @@ def test_whole_pages_are_counted(spark):
     assert all(found[i] == f"Body {i}" for i in range(12, 100))
 
 
+def test_no_text_of_an_article_is_lost():
+    def texts(page):
+        return [t for t, _ in templates.blocks(page)]
+
+    assert texts("<body><article><p>one</article><div>x</div><article><p>two, longer</article>") == ["one", "two, longer"]
+    assert texts('<div class=entry><p>one</div><div class="post"><p>two</div>') == ["one", "two"]
+    page = (
+        '<article><section id="search-trees"><h2 id="related-work">a</h2><p class="share-price">b</p></section>'
+        '<section id="comments-on-x"><p>c</p></section><div class="comments">hi</div><div class="x share">hi</div></article>'
+    )
+    assert texts(page) == ["a", "b", "c"]
+    assert texts('<div class="site-footer">f</div><div id="adBox">f</div><div class="share-price">1 EUR</div>') == ["1 EUR"]
+
+
 # -- mixing, sharding
 
 
