@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -23,8 +24,13 @@ LEAST_SHARE = 0.9
 # An unseen identifier is taken when the patterns around it, as independent witnesses, trust it so much.
 LEAST_TRUST = 0.95
 ROUNDS = 3
-# Digits that a token needs to be a candidate; tokens with an at sign inside need none.
+# Digits that a token needs to be a candidate anywhere; tokens with an at sign inside need none. In the slot of a pattern,
+# anything is one.
 LEAST_DIGITS = 5
+# Words that a slot holds at most.
+MOST_WORDS = 5
+# How far a pattern is trusted on a span that has so many digits or an at sign, only fewer digits, or neither.
+WEIGHTS = (1.0, 0.7, 0.3)
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -34,19 +40,24 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HINT = re.compile(r"[0-9@]")
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
+_WORD = re.compile(r"\S+")
+_LIKELY = re.compile(r"[0-9@]|[\[({<]\w+[\])}>]")
+_AT = re.compile(r"[\[({<]\w+[\])}>]")
+_PAIRS = dict(zip("([{<", ")]}>", strict=True))
 _TRIM = ".,;:!?\"'()[]{}<>*#$%&|"
 
 _SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("kind", T.IntegerType()), T.StructField("end", T.IntegerType())])
-_SEEN = T.StructType(
+_SIGHT = T.StructType(
     [
         T.StructField("start", T.IntegerType()),
         T.StructField("end", T.IntegerType()),
         T.StructField("kind", T.IntegerType()),
         T.StructField("entity", T.LongType()),
+        T.StructField("weight", T.DoubleType()),
         T.StructField("contexts", T.ArrayType(T.LongType())),
     ]
 )
-_FOUND = [T.StructField("base", T.ArrayType(_SPAN)), T.StructField("base_sha256", T.StringType()), T.StructField("seen", T.ArrayType(_SEEN))]
+_FOUND = [T.StructField("base", T.ArrayType(_SPAN)), T.StructField("base_sha256", T.StringType()), T.StructField("seen", T.ArrayType(_SIGHT))]
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -115,38 +126,213 @@ def _candidates(text: str, known: list[tuple[int, int, int]]) -> Iterator[tuple[
                 yield start, end
 
 
-def _shape(entity: str) -> str:
-    """Runs of digits and runs of letters as one sign each; other signs as they are."""
-    return re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]+", "0", entity))
+def _weight(entity: str) -> float:
+    """How much a span looks like an identifier of any kind, whatever its form."""
+    digits = len(_digits(entity))
+    if digits >= LEAST_DIGITS or "@" in entity[1:-1] or any(_AT.fullmatch(w) for w in entity.split()[1:-1]):
+        return WEIGHTS[0]
+    return WEIGHTS[1] if digits else WEIGHTS[2]
 
 
-def _contexts(text: str, start: int, end: int) -> list[int]:
-    """Hashes of the lexical patterns that a span stands in: two words before, or one on either side, with its shape."""
-    before = text[max(0, start - 80) : start].lower().split()[-2:]
-    after = text[end : end + 40].lower().split()[:1]
-    shape = _shape(text[start:end])
-    found = [("2", *before, shape)] if len(before) == 2 else []
-    if before and after:
-        found.append(("1", before[-1], after[0], shape))
-    return [xxhash.xxh3_64_intdigest("\t".join(x)) - (1 << 63) for x in found]
+def _plain(words: list[str]) -> list[str]:
+    return [w for w in (w.strip(_TRIM) for w in words) if w]
+
+
+def _pattern(kind: str, one: str, two: str) -> int:
+    return xxhash.xxh3_64_intdigest(f"{kind}\t{one}\t{two}") - (1 << 63)
 
 
-def _scan(text: str) -> tuple[list, str, list]:
+def _contexts(text: str, start: int, end: int) -> list[tuple[str, str, str]]:
+    """The lexical patterns that a span stands in: ("2", two words before) and ("1", the word before, the word behind)."""
+    before = _plain(text[max(0, start - 80) : start].lower().split())[-2:]
+    after = _plain(text[end : end + 40].lower().split())[:1]
+    found = [("2", *before)] if len(before) == 2 else []
+    if before and after:
+        found.append(("1", before[-1], after[0]))
+    return found
+
+
+class Patterns:
+    """Patterns by the word before their slot. ``full`` are the words whose slots are wanted whatever stands in them."""
+
+    def __init__(self, patterns: Iterable[tuple[str, str, str]]) -> None:
+        self.before: dict[str, set[str]] = {}
+        self.behind: dict[str, set[str]] = {}
+        self.open: dict[str, int] = {}
+        self.every = frozenset(patterns)
+        for kind, one, two in self.every:
+            by, anchor, other = (self.before, two, one) if kind == "2" else (self.behind, one, two)
+            by.setdefault(anchor, set()).add(other)
+            self.open[anchor] = self.open.get(anchor, 0) + 1
+        self.anchors = frozenset(self.open)
+        self.full = set(self.anchors)
+
+    def enough(self, pattern: tuple[str, str, str]) -> None:
+        """From now on this pattern's slots are only wanted where something like an identifier is near."""
+        anchor = pattern[2] if pattern[0] == "2" else pattern[1]
+        self.open[anchor] -= 1
+        if not self.open[anchor]:
+            self.full.discard(anchor)
+
+
+def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    """A span without the signs around it, but for brackets that open and close within it."""
+    while start < end and text[start] in _TRIM and _PAIRS.get(text[start], "\0") not in text[start:end]:
+        start += 1
+    opens = {close: open_ for open_, close in _PAIRS.items()}
+    while end > start and text[end - 1] in _TRIM and opens.get(text[end - 1], "\0") not in text[start:end]:
+        end -= 1
+    return start, end
+
+
+def _run(words: list[str]) -> int:
+    """How many words a slot without an end holds: those with digits or an at sign, and those joined by a word in brackets."""
+    n = 1
+    while n < len(words) and words[n - 1][-1] not in ",;:!?.":
+        if _AT.fullmatch(words[n]) and n + 1 < len(words):
+            n += 2
+        elif _HINT.search(words[n]) and _HINT.search(words[n - 1]):
+            n += 1
+        else:
+            break
+    return n
+
+
+def _slots(text: str, known: list[tuple[int, int, int]], patterns: Patterns) -> Iterator[tuple[int, int, tuple[str, str, str]]]:
+    """Spans of up to ``MOST_WORDS`` words that stand after or between the words of ``patterns`` and touch no known span."""
+    if not patterns.anchors or not text:
+        return
+    plain = [w.strip(_TRIM) for w in text.lower().split()]
+    if patterns.anchors.isdisjoint(plain):
+        return
+    places = [m.span() for m in _WORD.finditer(text)]
+    if len(places) != len(plain):  # lower case has made white space
+        plain = [text[s:e].lower().strip(_TRIM) for s, e in places]
+    covered = sorted((s, e) for s, _, e in known)
+    likely: set[int] = set()
+    for m in _LIKELY.finditer(text):
+        at = bisect.bisect_right(places, (m.start(), len(text) + 1)) - 1
+        likely.update(range(at - MOST_WORDS, at))
+    full, anchors = patterns.full, patterns.anchors
+    for i, word in enumerate(plain[:-1]):
+        if word not in full and (i not in likely or word not in anchors):
+            continue
+        found = []
+        behind = patterns.behind.get(word)
+        if behind:
+            for j in range(i + 2, min(i + 2 + MOST_WORDS, len(plain))):
+                if plain[j] in behind:
+                    found.append((j - i - 1, ("1", word, plain[j])))
+                    break
+        if i and plain[i - 1] in patterns.before.get(word, ()):
+            found.append((_run([text[s:e] for s, e in places[i + 1 : i + 1 + MOST_WORDS]]), ("2", plain[i - 1], word)))
+        for size, pattern in found:
+            start, end = _trimmed(text, places[i + 1][0], places[i + size][1])
+            at = bisect.bisect_left(covered, (start, start))
+            near = covered[max(0, at - len(KINDS)) : at] + covered[at : at + 1]
+            if start < end and not any(s < end and start < e for s, e in near):
+                yield start, end, pattern
+
+
+def _entity(span: str) -> int:
+    return xxhash.xxh3_64_intdigest(" ".join(span.lower().split())) - (1 << 63)
+
+
+def _scan(text: str, patterns: Patterns) -> tuple[list, str, list]:
     base = base_spans(text)
     digest = hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in base).encode()).hexdigest()
+    unknown = dict.fromkeys([*_candidates(text, base), *((s, e) for s, e, _ in _slots(text, base, patterns))])
     seen = [
         {
             "start": s,
             "end": e,
             "kind": k,
-            "entity": xxhash.xxh3_64_intdigest(text[s:e].lower()) - (1 << 63),
-            "contexts": _contexts(text, s, e),
+            "entity": _entity(text[s:e]),
+            "weight": _weight(text[s:e]),
+            # Of other patterns it is not known what else they hold.
+            "contexts": [_pattern(*c) for c in _contexts(text, s, e) if c in patterns.every],
         }
-        for s, e, k in [*((s, e, k) for s, k, e in base), *((s, e, -1) for s, e in _candidates(text, base))]
+        for s, e, k in [*((s, e, k) for s, k, e in base), *((s, e, -1) for s, e in unknown)]
     ]
     return [{"start": s, "kind": k, "end": e} for s, k, e in base], digest, seen
 
 
+def _patterns(docs: DataFrame) -> list[tuple[str, str, str]]:
+    """The patterns that may come to be sure: they hold enough different entities or candidates, and not too much else.
+
+    Each stands for ``LEAST_ENTITIES`` entities at least, so there are far fewer than base spans and candidates. A second pass
+    leaves out those that hold so many ordinary words in a single task that no share of the rest could make them sure.
+    """
+
+    def stand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for t in batch.column("text"):
+                text = t.as_py() or ""
+                base = base_spans(text)
+                for s, e in [*((s, e) for s, _, e in base), *_candidates(text, base)]:
+                    rows += [(*c, _entity(text[s:e])) for c in _contexts(text, s, e)]
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array([r[i] for r in rows], pa.string()) for i in range(3)], pa.array([r[3] for r in rows], pa.int64())],
+                ["sort", "one", "two", "entity"],
+            )
+
+    words = ("sort", "one", "two")
+    given = docs.select("text")
+    rows = (
+        given.mapInArrow(stand, "sort string, one string, two string, entity long")
+        .groupBy(*words)
+        .agg(F.count_distinct("entity").alias("n"))
+        .where(F.col("n") >= LEAST_ENTITIES)
+        .toArrow()
+    )
+    held = dict(zip(zip(*[rows.column(c).to_pylist() for c in words]), rows.column("n").to_pylist(), strict=True))
+    if not held:
+        return []
+    sent = docs.sparkSession.sparkContext.broadcast(held)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        patterns = Patterns(sent.value)
+        ordinary: dict[tuple, set[int]] = {}
+        likely: dict[tuple, set[int]] = {}
+        for batch in batches:
+            for t in batch.column("text"):
+                text = t.as_py() or ""
+                for s, e, pattern in _slots(text, base_spans(text), patterns):
+                    if _weight(text[s:e]) > WEIGHTS[2]:
+                        likely.setdefault(pattern, set()).add(_entity(text[s:e]))
+                        continue
+                    own = ordinary.setdefault(pattern, set())
+                    most = sent.value[pattern] + 16
+                    if len(own) < most:
+                        own.add(_entity(text[s:e]))
+                        if len(own) == most:
+                            patterns.enough(pattern)
+        every = list(ordinary.keys() | likely.keys())
+        yield pa.RecordBatch.from_arrays(
+            [
+                *[pa.array([p[i] for p in every], pa.string()) for i in range(3)],
+                pa.array([len(ordinary.get(p, ())) for p in every], pa.int64()),
+                pa.array([len(likely.get(p, ())) for p in every], pa.int64()),
+            ],
+            [*words, "ordinary", "likely"],
+        )
+
+    rows = (
+        given.mapInArrow(fill, "sort string, one string, two string, ordinary long, likely long")
+        .groupBy(*words)
+        .agg(F.max("ordinary").alias("ordinary"), F.sum("likely").alias("likely"))
+        .toArrow()
+        .to_pylist()
+    )
+    for r in rows:
+        pattern = (r["sort"], r["one"], r["two"])
+        known = held[pattern] + r["likely"]
+        if known < LEAST_SHARE * (known + r["ordinary"]):
+            del held[pattern]
+    return list(held)
+
+
 def _scanned(docs: DataFrame, carried: list[str]) -> DataFrame:
     """The row in a struct with a number, its base spans and digest, and all that was seen with its contexts."""
     given = docs.select(
@@ -155,13 +341,15 @@ def _scanned(docs: DataFrame, carried: list[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("number"),
     )
     schema = T.StructType([given.schema["row"], T.StructField("number", T.LongType()), *_FOUND])
+    sent = docs.sparkSession.sparkContext.broadcast(_patterns(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         types = to_arrow_schema(T.StructType(_FOUND))
+        patterns = Patterns(sent.value)
         for batch in batches:
-            found = [_scan(t.as_py() or "") for t in batch.column("text")]
+            found = [_scan(t.as_py() or "", patterns) for t in batch.column("text")]
             arrays = [pa.array([f[i] for f in found], types.field(i).type) for i in range(3)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("number"), *arrays], ["row", "number", *types.names]
@@ -171,13 +359,13 @@ def _scanned(docs: DataFrame, carried: list[str]) -> DataFrame:
 
 
 def _unseen(edges: DataFrame, rounds: int) -> DataFrame:
-    """(entity, kind) of what the patterns find, from the graph's distinct edges (context, entity, kind; -1: unknown).
+    """(entity, kind) of what the patterns find, from the graph's distinct edges (context, entity, weight, kind; -1: unknown).
 
     In each round contexts are scored by the trust in the entities that they hold, and those that are sure enough pass
-    trust on to the unknown ones. Both sides are sums over edges, so a very common context is combined before it moves.
+    trust on to the unknown ones. What looks like no identifier makes no pattern surer. Both sides are sums over edges, so a very common context is combined before it moves.
     """
     seeds = edges.where("kind >= 0").select("entity", "kind").distinct()
-    unknown = stored(edges.where("kind < 0").join(seeds, "entity", "left_anti").select("context", "entity"), "unknown")
+    unknown = stored(edges.where("kind < 0").join(seeds, "entity", "left_anti").select("context", "entity", "weight"), "unknown")
     held = stored(
         edges.groupBy("context").agg(
             *[F.count_distinct(F.when(F.col("kind") == k, F.col("entity"))).alias(f"seeds{k}") for k in range(len(KINDS))]
@@ -191,7 +379,8 @@ def _unseen(edges: DataFrame, rounds: int) -> DataFrame:
         scored = holding
         if trusted is not None:
             learnt = (
-                unknown.join(trusted, "entity")
+                unknown.where(F.col("weight") > WEIGHTS[2])
+                .join(trusted, "entity")
                 .groupBy("context")
                 .agg(*[F.sum(F.when(F.col("kind") == k, F.col("trust"))).alias(f"more{k}") for k in range(len(KINDS))])
             )
@@ -210,7 +399,7 @@ def _unseen(edges: DataFrame, rounds: int) -> DataFrame:
         sure = scored.select("context", F.greatest(*scores).alias("best")).where(
             (F.col("best.share") >= LEAST_SHARE) & (F.col("best.known") >= LEAST_ENTITIES)
         )
-        doubt = F.greatest(1 - F.col("best.share"), F.lit(1e-6))
+        doubt = F.greatest(1 - F.col("best.share") * F.col("weight"), F.lit(1e-6))
         trusted = stored(
             unknown.join(sure, "context")
             .groupBy("entity", F.col("best.kind").alias("kind"))
@@ -226,10 +415,11 @@ def _unseen(edges: DataFrame, rounds: int) -> DataFrame:
 def find(docs: DataFrame, carried: list[str] | None = None, rounds: int = ROUNDS) -> DataFrame:
     """``docs`` with base_sha256, base and spans: arrays of (start, kind, end) in code points, in order.
 
-    One pass over the texts finds the base entities (email, ip, card, phone) and all that could be an unseen one
-    (tokens with digits or an at sign), with the lexical patterns they stand in: the two words before, or the
-    word on either side, and the shape of the span. The graph of patterns and entities is scored in ``rounds`` rounds of
-    Spark joins; base entities are its seeds. What sure patterns hold is found wherever it stands, and
+    One pass over the texts finds the base entities (email, ip, card, phone) with the lexical patterns they stand in: the two
+    words before, or the word on either side. A second one finds whatever stands in the slots of patterns that hold enough
+    entities, up to five words of any form, and tokens with digits or an at sign anywhere. The graph of patterns and entities is
+    scored in ``rounds`` rounds of Spark joins; base entities are its seeds, ordinary words in a slot count against its pattern, and a
+    pattern is trusted less on spans that do not look like identifiers. What sure patterns hold is found wherever it is seen, and
     added to ``spans`` under the patterns' kind; base spans stay.
 
     A null text is an empty one; null and repeated ids are rows like others; an empty table gives no rows. Only columns
@@ -238,12 +428,12 @@ def find(docs: DataFrame, carried: list[str] | None = None, rounds: int = ROUNDS
     carried = [c for c in carried or docs.columns if c not in ("base", "base_sha256", "spans")]
     scanned = stored(_scanned(docs, carried), "scanned")
     seen = scanned.select("number", F.explode("seen").alias("s")).select("number", "s.*")
-    edges = stored(seen.select(F.explode("contexts").alias("context"), "entity", "kind").distinct(), "edges")
+    edges = stored(seen.select(F.explode("contexts").alias("context"), "entity", "weight", "kind").distinct(), "edges")
     extra = (
         seen.where("kind < 0")
         .join(_unseen(edges, rounds), "entity")
         .groupBy("number")
-        .agg(F.collect_list(F.struct("start", F.col("found_kind").alias("kind"), "end")).alias("extra"))
+        .agg(F.collect_set(F.struct("start", F.col("found_kind").alias("kind"), "end")).alias("extra"))
     )
     spans = F.array_sort(F.concat("base", F.coalesce("extra", F.array().cast(T.ArrayType(_SPAN)))))
     return scanned.join(extra, "number", "left").select("row.*", "base_sha256", "base", spans.alias("spans"))

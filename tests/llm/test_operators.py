@@ -93,6 +93,23 @@ def test_sure_contexts_find_unseen_identifiers(spark):
     assert red.text == "please charge card number <CARD> before noon"
 
 
+def test_sure_contexts_find_new_forms(spark):
+    rows = [(i, f"please call me at +1 (743) 555-{3000 + i} before noon") for i in range(100)]
+    rows += [(100 + i, f"you may write to ann.{i}@mail.example.com about it") for i in range(40)]
+    new = ["(555) 123-4567", "555-123-4567", "020 7946 0958", "555.1234"]
+    rows += [(200 + i, f"please call me at {x} before noon") for i, x in enumerate(new)]
+    rows += [(300, "you may write to john (at) example.com about it"), (301, "then call me at: 020 7946 0999, or not")]
+    rows += [(400 + i, f"we look at {x} before noon") for i, x in enumerate(["nothing", "a 1999 film", *"abcdefghi"])]
+    rows += [(500 + i, f"in shop {i} of +1 (743) 555-{4000 + i} now") for i in range(40)]
+    rows += [(600 + i, f"a part of {x} now") for i, x in enumerate(["777123499", *"abcdefghijklmnopqrstuvwxyz"])]
+    texts = dict(rows)
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = {r.doc_id: [(pii.KINDS[s.kind], texts[r.doc_id][s.start : s.end]) for s in r.spans] for r in found if r.doc_id >= 200}
+    assert [spans[200 + i] for i in range(len(new))] == [[("phone", x)] for x in new]
+    assert spans[300] == [("email", "john (at) example.com")] and spans[301] == [("phone", "020 7946 0999")]
+    assert not any(spans[i] for i in spans if 400 <= i < 500 or i >= 600)
+
+
 # -- substring dedup
 
 
