@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.llm.common import stored
+from silverlode.llm.common import kept, stored
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -265,6 +265,7 @@ def _patterns(docs: DataFrame) -> list[tuple[str, str, str]]:
     """
 
     def stand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("pii")
         for batch in batches:
             rows = []
             for t in batch.column("text"):
@@ -292,6 +293,7 @@ def _patterns(docs: DataFrame) -> list[tuple[str, str, str]]:
     sent = docs.sparkSession.sparkContext.broadcast(held)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("pii")
         patterns = Patterns(sent.value)
         ordinary: dict[tuple, set[int]] = {}
         likely: dict[tuple, set[int]] = {}
@@ -303,6 +305,7 @@ def _patterns(docs: DataFrame) -> list[tuple[str, str, str]]:
                         likely.setdefault(pattern, set()).add(_entity(text[s:e]))
                         continue
                     own = ordinary.setdefault(pattern, set())
+                    # Fewer leave common patterns in, as what is likely is summed over tasks and this is not.
                     most = sent.value[pattern] + 16
                     if len(own) < most:
                         own.add(_entity(text[s:e]))
@@ -325,6 +328,7 @@ def _patterns(docs: DataFrame) -> list[tuple[str, str, str]]:
         .toArrow()
         .to_pylist()
     )
+    sent.destroy()
     for r in rows:
         pattern = (r["sort"], r["one"], r["two"])
         known = held[pattern] + r["likely"]
@@ -346,6 +350,7 @@ def _scanned(docs: DataFrame, carried: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
+        kept("pii")
         types = to_arrow_schema(T.StructType(_FOUND))
         patterns = Patterns(sent.value)
         for batch in batches:
@@ -463,8 +468,8 @@ def redacted(found: DataFrame, columns: list[str]) -> DataFrame:
                         parts += [text[at : span["start"]], f"<{KINDS[span['kind']].upper()}>"]
                     at = max(at, span["end"])
                 texts.append("".join([*parts, text[at:]]) if text else text)
-            kept = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays(kept, columns)
+            arrays = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays(arrays, columns)
 
     schema = T.StructType([found.schema[c] for c in columns])
     out = found.select(*[f"`{c}`" for c in columns], "spans").mapInArrow(run, schema)
