@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 
 def struct(**columns: str) -> StructType:
@@ -86,6 +86,10 @@ MOVIES_CORE = {
 # ----------------------------------------------------------------------------------
 
 
+# Columns of rows that stand for a document that could not be read.
+REJECTED, REASON, DOCUMENT = "rejected", "reason", "document"
+
+
 @dataclass(frozen=True)
 class JsonTable:
     """A relational table held as a JSON array of objects in one string column.
@@ -119,6 +123,11 @@ class JsonTable:
         """What to parse: the kept fields only, so that dropped ones cost nothing."""
         return ArrayType(StructType([f for f in self.element if f.name in self.fields]))
 
+    def reject_schema(self, source: StructType) -> StructType:
+        """Of the documents that cannot be read: parent columns, why, and the text."""
+        parents = [StructField(out, source[name].dataType) for name, out in self.parents.items()]
+        return StructType([*parents, StructField(REASON, StringType()), StructField(DOCUMENT, StringType())])
+
     def output_schema(self, source: StructType) -> StructType:
         parents = [StructField(out, source[name].dataType) for name, out in self.parents.items()]
         return StructType(parents + [self.element[name] for name in self.fields])

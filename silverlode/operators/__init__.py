@@ -1,3 +1,3 @@
-from silverlode.operators.normalize import core_movies, fill_defaults, normalize
+from silverlode.operators.normalize import core_movies, fill_defaults, normalize, normalize_marked, rejected
 
-__all__ = ["core_movies", "fill_defaults", "normalize"]
+__all__ = ["core_movies", "fill_defaults", "normalize", "normalize_marked", "rejected"]

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
-from silverlode.model import MOVIES_CORE, JsonTable
+from silverlode.model import DOCUMENT, MOVIES_CORE, REASON, REJECTED, JsonTable
+
+# Why a document gives no rows although it holds text.
+MALFORMED, OTHER_TYPE = "malformed", "not an array of objects"
 
 
 def normalize(df: DataFrame, table: JsonTable) -> DataFrame:
@@ -23,6 +27,53 @@ def normalize(df: DataFrame, table: JsonTable) -> DataFrame:
     return fill_defaults(rows, table.fill)
 
 
+def normalize_marked(df: DataFrame, table: JsonTable) -> DataFrame:
+    """The rows of ``normalize``, and one for each document that it cannot read, from one parse of each document.
+
+    Rows have all columns of both: ``rejected`` tells them apart, and those rejected have the parent columns, ``reason`` and
+    ``document``. Null and blank texts and a JSON null are documents that hold nothing, and are not rejected. A document
+    that is cut off is rejected as a whole, as ``normalize`` takes none of its elements.
+    """
+    clashing = {REJECTED, REASON, DOCUMENT} & {*table.parents.values(), *table.fields}
+    if clashing:
+        raise ValueError(f"{table.name}: these names are needed for rejects: {sorted(clashing)}")
+    document = F.col(table.column)
+    element = table.parse_type.elementType
+    marked = StructType([*element, StructField(REJECTED, BooleanType()), StructField(REASON, StringType()), StructField(DOCUMENT, StringType())])
+
+    def rows(parsed: Column) -> Column:
+        """What one document gives; ``parsed`` is a name for its parse, which runs once."""
+        holds_nothing = document.isNull() | document.rlike(r"^\s*(null\s*)?$")
+        reason = F.when(F.try_parse_json(document).isNull(), MALFORMED).otherwise(OTHER_TYPE)
+        reject = F.struct(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in element],
+            F.lit(True).alias(REJECTED), reason.alias(REASON), document.alias(DOCUMENT),
+        )
+        found = F.transform(
+            parsed,
+            lambda e: F.struct(
+                *[e[f.name].alias(f.name) for f in element],
+                F.lit(False).alias(REJECTED), F.lit(None).cast("string").alias(REASON), F.lit(None).cast("string").alias(DOCUMENT),
+            ),
+        )
+        return F.when(parsed.isNotNull(), found).when(~holds_nothing, F.array(reject)).cast(ArrayType(marked))
+
+    named = F.transform(F.array(F.from_json(document, table.parse_type)), rows)
+    out = df.select(*[F.col(name).alias(out) for name, out in table.parents.items()], F.inline(F.flatten(named)))
+    filled = {
+        f: F.when(F.col(REJECTED), F.col(f)).otherwise(F.coalesce(F.col(f), F.lit(value).cast(out.schema[f].dataType)))
+        for f, value in table.fill.items()
+    }
+    columns = [*table.parents.values(), *table.fields]
+    return out.select(*[filled.get(c, F.col(c)).alias(c) for c in columns], REASON, DOCUMENT, REJECTED)
+
+
+def rejected(df: DataFrame, table: JsonTable) -> DataFrame:
+    """The documents that ``normalize`` cannot read: parent columns, reason and text. The elements of others are not unnested."""
+    marked = normalize_marked(df, table)
+    return marked.where(REJECTED).select(*table.parents.values(), REASON, DOCUMENT)
+
+
 def fill_defaults(df: DataFrame, defaults: dict[str, str | int]) -> DataFrame:
     """Replace nulls in the named columns; an unknown column raises."""
     return df.fillna(defaults) if defaults else df

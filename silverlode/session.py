@@ -4,21 +4,25 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
-def s3a_settings(access_key: str, secret_key: str, endpoint: str, path_style: bool = True) -> dict[str, str]:
-    """Spark settings for an S3-compatible store; needs the ``hadoop-aws`` jar on the cluster."""
-    prefix = "spark.hadoop.fs.s3a."
+def s3a_settings(
+    access_key: str, secret_key: str, endpoint: str, path_style: bool = True, bucket: str | None = None
+) -> dict[str, str]:
+    """Hadoop settings for an S3-compatible store, or one bucket of it; needs the ``hadoop-aws`` jar on the cluster.
+
+    They are what the jobs take as ``stores``; for a session's builder, put ``spark.hadoop.`` before each.
+    """
+    prefix = f"fs.s3a.bucket.{bucket}." if bucket else "fs.s3a."
     return {
         prefix + "access.key": access_key,
         prefix + "secret.key": secret_key,
         prefix + "endpoint": endpoint,
         prefix + "path.style.access": str(path_style).lower(),
-        prefix + "impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+        "fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
     }
 
 
@@ -89,22 +93,58 @@ def replace_folder(spark: SparkSession, path: str, by: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
-def _files(spark: SparkSession, path: str) -> tuple:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+def list_folder(spark: SparkSession, path: str) -> dict[str, float]:
+    """The names in a folder and when each was last changed, in seconds; none if it is not there."""
+    files, at = _files(spark, path)
+    if not files.exists(at):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() / 1000 for s in files.listStatus(at)}
 
 
-@contextmanager
-def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    """Apply runtime settings for the length of a block."""
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, on the driver."""
+    files, at = _files(spark, path)
+    stream = files.open(at)
     try:
-        yield
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+        stream.close()
+
+
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in place as a whole; False if one is there already, which is left alone.
+
+    The file is written under another name and renamed. HDFS refuses the rename if the name was taken in the meantime;
+    other stores may only be looked at before it.
+    """
+    files, at = _files(spark, path)
+    written = _files(spark, f"{path}.{uuid.uuid4().hex}.tmp")[1]
+    stream = files.create(written, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    try:
+        done = not files.exists(at) and files.rename(written, at)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in str(error.java_exception):
+            raise
+        done = False
+    if not done:
+        files.delete(written, False)
+    return done
+
+
+def _files(spark: SparkSession, path: str) -> tuple:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
+def own_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session of the same application that starts with the caller's settings and then has ``settings``.
+
+    A job that needs settings of its own runs in one, so that jobs side by side, and the caller, keep theirs.
+    """
+    own = spark.newSession()
+    for key, value in {**spark.conf.getAll, **settings}.items():
+        if own.conf.get(key, None) != value:
+            own.conf.set(key, value)
+    return own

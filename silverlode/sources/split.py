@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from silverlode.session import Scratch, session_settings
+from silverlode.session import Scratch
 
 CSV_FORMAT = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
 
@@ -32,7 +32,7 @@ BYTES_PER_PARTITION = 1024 * 1024 * 1024
 _BLANK = r"^[ \t\r]*$"
 
 
-def split_records(spark: SparkSession, path: str, header: list[str], size: int, scratch: Scratch) -> DataFrame:
+def split_records(spark: SparkSession, path: list[str], header: list[str], size: int, scratch: Scratch) -> DataFrame:
     """All records as one string column per cell of the header, plus ``RECORD``; headers left out.
 
     ``size`` is that of all files together, in bytes.
@@ -50,16 +50,17 @@ def split_records(spark: SparkSession, path: str, header: list[str], size: int,
     return parsed.where(_is_data(cells, header)).select(*cells, RECORD)
 
 
-def _staged_lines(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
+def _staged_lines(spark: SparkSession, path: list[str], scratch: Scratch) -> DataFrame:
     """Every line with its place and effect, as a table in the shared folder.
 
     Block bounds and line numbers come from the way this one scan was planned. Writing them down
     keeps them the same for both later passes, also after an executor is lost.
     """
-    return _staged(spark, _line_effects(spark, path), scratch.path("lines"))
+    return _staged(spark, line_effects(spark, path), scratch.path("lines"))
 
 
-def _line_effects(spark: SparkSession, path: str) -> DataFrame:
+def line_effects(spark: SparkSession, path: str | list[str], *more: Column) -> DataFrame:
+    """Every line with its place and effect."""
     has_quote = F.col("value").contains('"')
     return (
         spark.read.text(path, lineSep="\n")
@@ -68,6 +69,7 @@ def _line_effects(spark: SparkSession, path: str) -> DataFrame:
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line"),
             "value",
+            *more,
         )
         .withColumn("opens", F.when(has_quote, leaves_open(F.col("value"))).otherwise(False))
         .withColumn("stays", F.when(has_quote, leaves_open(F.concat(F.lit('"'), "value"))).otherwise(True))
@@ -124,7 +126,7 @@ def _then(so_far: Column, opens: Column, stays: Column) -> Column:
     )
 
 
-def _block_effect() -> Column:
+def block_effect() -> Column:
     """Of the lines of a group. Only those that change the state are collected, as one number each."""
     packed = F.col("line") * 4 + F.col("opens").cast("int") * 2 + F.col("stays").cast("int")
     changes = F.array_sort(F.collect_list(F.when(F.col("opens") | ~F.col("stays"), packed)))
@@ -135,19 +137,10 @@ def _block_effect() -> Column:
     )
 
 
-def unclosed_file(spark: SparkSession, path: str) -> str | None:
-    """A file that ends within a quoted field, by the effects of its lines; None if there is none.
-
-    One pass without writing text down; what is grouped is a number a line, by block, and then a few
-    numbers a block, by file.
-    """
-    blocks = _line_effects(spark, path).groupBy("file", "block").agg(_block_effect().alias("effect"))
+def file_effect() -> Column:
+    """Of the blocks of a group: ``effect`` by ``block``."""
     in_order = F.array_sort(F.collect_list(F.struct("block", "effect")))
-    whole = F.aggregate(
-        in_order, _no_effect(), lambda so_far, b: _then(so_far, b["effect"]["opens"], b["effect"]["stays"])
-    )
-    files = blocks.groupBy("file").agg(whole.alias("effect"))
-    return files.agg(F.max(F.when(F.col("effect.opens"), F.col("file")))).first()[0]
+    return F.aggregate(in_order, _no_effect(), lambda so_far, b: _then(so_far, b["effect"]["opens"], b["effect"]["stays"]))
 
 
 def _staged_heads(spark: SparkSession, lines: DataFrame, partitions: int | None, scratch: Scratch) -> DataFrame:
@@ -155,8 +148,11 @@ def _staged_heads(spark: SparkSession, lines: DataFrame, partitions: int | None,
 
     A group is one block.
     """
-    blocks = lines.groupBy("file", "block").agg(
-        _block_effect().alias("effect"),
+    effects = lines.select("file", "block", "line", "opens", "stays")
+    if partitions:
+        effects = effects.repartition(partitions, "file", "block")
+    blocks = effects.groupBy("file", "block").agg(
+        block_effect().alias("effect"),
         F.min(F.when(~F.col("stays"), F.col("line"))).alias("closes"),
         F.max("line").alias("last_line"),
     )
@@ -166,20 +162,11 @@ def _staged_heads(spark: SparkSession, lines: DataFrame, partitions: int | None,
         _with_open_before(blocks.select("file", "block", "effect.*", "closes", "last_line"), ["file"], ["block"])
         .withColumn("home", F.last(F.when(has_start, F.col("block")), ignorenulls=True).over(earlier))
         .withColumn("head_end", F.coalesce("closes", "last_line"))
-        .withColumn("open_after", F.when(F.col("open_before"), F.col("stays")).otherwise(F.col("opens")))
-        .select("file", "block", "home", "head_end", "open_before", "open_after")
-    )
-    with session_settings(spark, {"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}):
-        staged = _staged(spark, states, scratch.path("blocks"))
-    files = staged.groupBy("file").agg(
-        F.max_by("open_after", "block").alias("unclosed"), F.count_if("open_before").alias("heads")
+        .select("file", "block", "home", "head_end", "open_before")
     )
-    unclosed = F.when(F.col("unclosed"), F.col("file"))
-    seen = files.agg(F.max(unclosed).alias("unclosed"), F.sum("heads").alias("heads")).first()
-    if seen["unclosed"]:
-        raise ValueError(f"{seen['unclosed']}: a quoted field is never closed")
+    staged = _staged(spark, states, scratch.path("blocks"))
     heads = staged.where("open_before").select("file", "block", "home", "head_end")
-    return F.broadcast(heads) if seen["heads"] <= BROADCAST_BLOCKS else heads
+    return F.broadcast(heads) if heads.count() <= BROADCAST_BLOCKS else heads
 
 
 def _records(lines: DataFrame, heads: DataFrame, partitions: int | None) -> DataFrame:

@@ -1,5 +1,6 @@
 """CSV reading against pandas, on the same bytes, whole files and split ones."""
 
+import gzip
 import math
 
 import pandas as pd
@@ -7,10 +8,11 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
+from pyspark.sql import Observation
 
 from silverlode.functions.text import NULL_WORDS
 from silverlode.model import struct
-from silverlode.session import session_settings
+from silverlode.session import own_session
 from silverlode.sources import read_csv
 
 PARITY = b'''id,title,js,rt,d,flag,big
@@ -259,11 +261,11 @@ def test_large_text_takes_more_shuffle_partitions(spark, tmp_path, small_splits,
     path = put(tmp_path, ("id,a\n" + "".join(f'{i},"x\n{i}"\n' for i in range(200))).encode())
     monkeypatch.setattr("silverlode.sources.split.BYTES_PER_PARTITION", 100)
     monkeypatch.setattr("silverlode.sources.split.BROADCAST_BLOCKS", 0)
-    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        df = read_csv(spark, path, struct(id="long", a="string"), -1)
-        assert df.rdd.getNumPartitions() > 8
-        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
-        found = rows(df)
+    own = own_session(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    df = read_csv(own, path, struct(id="long", a="string"), -1)
+    assert df.rdd.getNumPartitions() > 8
+    assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    found = rows(df)
     assert found == sorted(((i, f"x\n{i}") for i in range(200)), key=repr)
 
 
@@ -343,3 +345,64 @@ def test_repeated_names_in_quotes_or_not_are_one_header(spark, tmp_path, small_s
     put(tmp_path, b"a,a,b\n1,2,3\n", "first.csv")
     path = put(tmp_path, b'"a",a,b\n4,5,6\n', "second.csv")
     assert rows(read_csv(spark, path, struct(a="long", b="long"), split_above)) == [(1, 3), (4, 6)]
+
+
+def scanned(df):
+    """Per scan of the plan: the kind, and the names of the files."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    found = {}
+    for leaf in (plan.collectLeaves().apply(i) for i in range(plan.collectLeaves().size())):
+        relation = leaf.relation()
+        names = sorted(f.rsplit("/", 1)[1] for f in relation.location().inputFiles())
+        found.setdefault(relation.fileFormat().toString().split("@")[0], []).append(names)
+    return found
+
+
+def test_each_file_is_read_in_its_own_way(spark, tmp_path):
+    """One CR LF file and compressed ones leave the others on the plain path; no compressed one is split."""
+    text = 'id,a\n1,x\n2,"y\nz"\n3,\n'
+    put(tmp_path, text.encode(), "a b%20[1].csv")
+    put(tmp_path, text.encode(), "plain.csv")
+    put(tmp_path, text.replace("\n", "\r\n").encode(), "cr lf{x}.csv")
+    put(tmp_path, gzip.compress(text.encode()), "plain.csv.gz")
+    path = put(tmp_path, gzip.compress(text.replace("\n", "\r\n").encode()), "crlf.csv.gz")
+    df = read_csv(spark, path, struct(id="long", a="string"))
+    line_feeds, both = [(1, "x"), (2, "y\nz"), (3, None)], [(1, "x"), (2, "y\r\nz"), (3, None)]
+    assert rows(df) == sorted(line_feeds * 3 + both * 2, key=repr)
+    found = scanned(df)
+    assert found["CSV"] == [["a%20b%2520%5B1%5D.csv", "plain.csv", "plain.csv.gz"], ["crlf.csv.gz"]]
+    assert set(found) == {"CSV", "Parquet"}  # the staged lines of the one that is split
+
+
+def test_a_large_file_alone_is_split(spark, tmp_path, small_splits):
+    put(tmp_path, b"id,a\n1,x\n", "small.csv")
+    put(tmp_path, b"id,a\n" + b"2,y\n" * 100, "large.csv")
+    path = put(tmp_path, gzip.compress(b"id,a\n" + b"".join(b"%d,z\n" % i for i in range(3000))), "large.csv.gz")
+    df = read_csv(spark, path, struct(id="long", a="string"), split_above=100)
+    assert scanned(df)["CSV"] == [["large.csv.gz", "small.csv"]]
+    assert df.count() == 3101
+
+
+def test_short_records_of_compressed_files_lose_their_line_ends(spark, tmp_path):
+    data = b'id,a,b\r\n1,"x"\r\n2\r\n\r\n3,y,\r\n4,"p\r\nq",z'
+    path = put(tmp_path, gzip.compress(data), "in.csv.gz")
+    found = rows(read_csv(spark, path, struct(id="long", a="string", b="string")))
+    assert found == [(1, "x", None), (2, None, None), (3, "y", None), (4, "p\r\nq", "z")]
+
+
+def test_columns_may_have_any_name(spark, tmp_path):
+    """Also those that the reader uses for itself."""
+    path = put(tmp_path, b"_record,_row,rows,_0,_RECORD_\n1,2,3,4,5\n")
+    schema = struct(_record="long", _row="string", rows="long", _0="string", _RECORD_="long")
+    assert rows(read_csv(spark, path, schema, spread=True)) == [(1, "2", 3, "4", 5)]
+    losses = Observation()
+    assert rows(read_csv(spark, path, schema, losses=losses)) == [(1, "2", 3, "4", 5)]
+    assert losses.get == {"rows": 1, "lost _record": 0, "lost rows": 0, "lost _RECORD_": 0}
+
+
+def test_lost_texts_are_counted(spark, tmp_path):
+    path = put(tmp_path, b"id,x,f,t\n1,1.5,True,a\nzwei,,yes,NA\n3.5,1d,false,b\n4.0,nan,,c\n")
+    losses = Observation()
+    df = read_csv(spark, path, struct(id="long", x="double", f="boolean", t="string"), losses=losses)
+    assert len(rows(df)) == 4
+    assert losses.get == {"rows": 4, "lost id": 2, "lost x": 1, "lost f": 1}
