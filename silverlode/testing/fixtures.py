@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.model import BRONZE, JSON_TABLES
+from silverlode.model import BRONZE, JSON_TABLES, MOVIES_SILVER, JsonTable, struct
 from silverlode.session import scratch_path
 from silverlode.sinks import write_bronze
 from silverlode.sinks.tables import ROWS_PER_FILE
@@ -154,6 +154,29 @@ ODD_DOCUMENTS = (
 )
 
 
+# Cells of numbers and booleans by name, some of them planted: the text, and where it is not of the declared type.
+NUMBERS = {
+    "l_orderkey": ("CAST(l_orderkey AS STRING)", "FALSE"),
+    "l_partkey": (
+        "CASE WHEN l_partkey % 7 = 0 THEN concat(l_partkey, ' pieces') WHEN l_partkey % 7 = 1 THEN 'NA' "
+        "WHEN l_partkey % 7 = 2 THEN concat(l_partkey, '.0') WHEN l_partkey % 7 = 3 THEN concat(l_partkey, '.5') "
+        "ELSE CAST(l_partkey AS STRING) END",
+        "l_partkey % 7 IN (0, 3)",
+    ),
+    "l_quantity": (
+        "CASE WHEN l_suppkey % 5 = 0 THEN '1,5' WHEN l_suppkey % 5 = 1 THEN '' WHEN l_suppkey % 5 = 2 THEN '0x1p3' "
+        "ELSE CAST(CAST(l_linenumber AS INT) AS STRING) END",
+        "l_suppkey % 5 IN (0, 2)",
+    ),
+    "returned": (
+        "CASE l_returnflag WHEN 'R' THEN 'true' WHEN 'A' THEN 'False' ELSE CASE WHEN l_linenumber = 1 THEN 'no' ELSE 'null' END END",
+        "l_returnflag NOT IN ('R', 'A') AND l_linenumber = 1",
+    ),
+    "l_returnflag": ("l_returnflag", "FALSE"),
+}
+NUMBER_TYPES = struct(l_orderkey="long", l_partkey="long", l_quantity="double", returned="boolean", l_returnflag="string")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -200,17 +223,24 @@ def _document(elements: Elements) -> str:
     return f"CASE WHEN {elements.absent} THEN NULL ELSE to_json(transform({numbers}, i -> named_struct({fields}))) END"
 
 
+def texts_of_numbers(lineitem: DataFrame) -> DataFrame:
+    """Cells of text, some of which are not of the type that ``NUMBERS`` declares."""
+    return lineitem.selectExpr(*[f"{cell} AS {name}" for name, (cell, _) in NUMBERS.items()])
+
+
 def odd_documents(orders: DataFrame) -> DataFrame:
     turns = " ".join(f"WHEN {i} THEN {document}" for i, (document, _) in enumerate(ODD_DOCUMENTS))
     return orders.selectExpr("o_orderkey", f"CASE o_orderkey % {len(ODD_DOCUMENTS)} {turns} END AS document")
 
 
 def csv_of(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """The path of CSV files with the rows of ``movies``, ``credits`` or ``documents``."""
+    """The path of CSV files with the rows of ``movies``, ``credits``, ``documents`` or ``numbers``."""
 
     def build(path: str) -> None:
         if name == "documents":
             rows = spark.sql(DOCUMENT_CELLS, documents=table(spark, sf_dir, "documents"))
+        elif name == "numbers":
+            rows = texts_of_numbers(table(spark, sf_dir, "lineitem"))
         else:
             rows = bronze(spark, sf_dir, name)
         rows.write.option("maxRecordsPerFile", rows_per_file(rows.count())).csv(
@@ -229,8 +259,26 @@ def movies_sql(key: str = "id") -> str:
     return "SELECT " + ", ".join(f"{value} AS {c}" for c, value in columns.items()) + " FROM part"
 
 
-def credits_sql() -> str:
-    return "SELECT " + ", ".join(f"{value} AS {c}" for c, value in SCALARS["credits"].items()) + " FROM orders"
+def bronze_sql(name: str) -> str:
+    """All columns of a Bronze table, the texts of its documents too."""
+    columns = dict(SCALARS[name])
+    for json_table in JSON_TABLES.values():
+        if json_table.source == name:
+            columns[json_table.column] = _document_sql(json_table)
+    return "SELECT " + ", ".join(f'{columns[c]} AS "{c}"' for c in BRONZE[name].names) + f" FROM {PARENT_TABLE[name]}"
+
+
+def _document_sql(json_table: JsonTable) -> str:
+    """The text of a document, put together without JSON functions."""
+    elements, fields = ELEMENTS[json_table.name], []
+    for name, value in elements.fields.items():
+        text = f"CAST({value} AS VARCHAR)"
+        if json_table.element[name].dataType.simpleString() == "string":
+            text = f"'\"' || replace(replace({text}, '\"', '\\\"'), chr(10), '\\n') || '\"'"
+        fields.append(f"""CASE WHEN ({value}) IS NOT NULL THEN '"{name}":' || {text} END""")
+    one = f"'{{' || array_to_string(list_filter([{', '.join(fields)}], lambda f: f IS NOT NULL), ',') || '}}'"
+    every = f"array_to_string(list_transform(range(1, {elements.size} + 1), lambda i: {one}), ',')"
+    return f"CASE WHEN NOT ({elements.absent}) THEN '[' || {every} || ']' END"
 
 
 def elements_sql(name: str, fill: bool = True) -> str:
@@ -273,13 +321,53 @@ def odd_sql(no_id: int) -> str:
     return " UNION ALL ".join(found)
 
 
+def rejects_sql() -> str:
+    """The odd documents that hold text and give no rows, but for blank ones."""
+    found = [
+        f"SELECT o_orderkey AS order_id, '{reason}' AS reason, {ODD_DOCUMENTS[i][0]} AS document "
+        f"FROM orders WHERE o_orderkey % {len(ODD_DOCUMENTS)} = {i}"
+        for i, reason in ((0, "malformed"), (1, "not an array of objects"))
+    ]
+    return " UNION ALL ".join(found)
+
+
+def losses_sql() -> str:
+    lost = [
+        f"SELECT '{name}' AS column_name, COUNT(*) FILTER (WHERE {lost}) AS lost, COUNT(*) AS n FROM lineitem"
+        for name, (_, lost) in NUMBERS.items()
+        if NUMBER_TYPES[name].dataType.simpleString() != "string"
+    ]
+    return " UNION ALL ".join(lost)
+
+
+def row_text(columns: list[tuple[str, str]]) -> str:
+    """A row as text, alike in Spark and DuckDB: doubles as whole numbers of a fixed, tiny unit, and nulls as a sign."""
+    cells = []
+    for name, kind in columns:
+        value = f'floor("{name}" * 1048576)' if kind == "double" else f'"{name}"'
+        value = f"CAST({value} AS BIGINT)" if kind == "double" else value
+        cells.append(f"coalesce(CAST({value} AS VARCHAR), '~')")
+    return "concat_ws('|', " + ", ".join(cells) + ")"
+
+
+def digest_of(df: DataFrame, name: str) -> DataFrame:
+    """Number of rows and an order-free digest: of each row's MD5 the first 32 bits, added up."""
+    text = row_text(df.dtypes).replace('"', "`").replace("VARCHAR", "STRING")
+    part = f"CAST(conv(substr(md5({text}), 1, 8), 16, 10) AS BIGINT)"
+    return df.selectExpr(f"{part} AS part").selectExpr(
+        f"'{name}' AS table_name", "count(1) AS n", "coalesce(sum(part), 0) AS digest"
+    )
+
+
 def counts_sql() -> str:
-    """Rows of each Silver table."""
-    counts = ["SELECT 'movies' AS table_name, COUNT(*) AS n FROM part"]
-    for name, json_table in JSON_TABLES.items():
-        elements = ELEMENTS[name]
+    """Rows of each Silver table and their digest."""
+    counts = []
+    schemas = {name: t.output_schema(BRONZE[t.source]) for name, t in JSON_TABLES.items()}
+    for name, schema in {"movies": MOVIES_SILVER, **schemas}.items():
+        text = row_text([(f.name, f.dataType.simpleString()) for f in schema])
+        rows = movies_sql("movie_id") if name == "movies" else elements_sql(name)
         counts.append(
-            f"SELECT '{name}' AS table_name, CAST(COALESCE(SUM({elements.size}), 0) AS BIGINT) AS n "
-            f"FROM {PARENT_TABLE[json_table.source]} WHERE NOT ({elements.absent})"
+            f"SELECT '{name}' AS table_name, COUNT(*) AS n, "
+            f"CAST(COALESCE(SUM(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)), 0) AS BIGINT) AS digest FROM ({rows})"
         )
     return " UNION ALL ".join(counts)

@@ -1,5 +1,6 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import sys
 from dataclasses import replace
 
 import pytest
@@ -32,10 +33,30 @@ def test_unnesting_keeps_null_numbers(spark, con, sf_dir):
 
 def test_every_silver_table_of_the_pipeline(spark, con, sf_dir):
     """From CSV files through Bronze, each Silver table is what the parent rows say."""
-    path, written = contract._pipeline(spark, sf_dir)
-    for name in written:
+    for name, df in contract._pipeline(spark, sf_dir).items():
         sql = fixtures.movies_sql("movie_id") if name == "movies" else fixtures.elements_sql(name)
-        assert assert_same(spark.read.parquet(f"{path}/{name}"), con, sql) > 0
+        assert assert_same(df, con, sql) > 0
+
+
+def test_a_digest_tells_rows_apart(spark):
+    """Order does not matter; a changed value, a row more or an exchange between columns does."""
+    def digest(*rows):
+        return tuple(fixtures.digest_of(spark.createDataFrame(rows, "a string, b string, x double"), "t").first())
+
+    rows = [("a", "b", 1.5), (None, "~", None), ("a", "b", 1.5)]
+    assert digest(*rows) == digest(*rows[::-1])
+    others = [rows[:2], [("b", "a", 1.5), *rows[1:]], [("a", "b", 1.25), *rows[1:]], [("a", "b", 1.5), ("~", None, 1.0), rows[0]]]
+    assert len({digest(*rows), *(digest(*o) for o in others)}) == 5
+
+
+@pytest.mark.parametrize("missing", ["xxhash", "silverlode.llm.queries", "corpus_pipeline"])
+def test_table_queries_stay_without_the_llm_package(monkeypatch, missing):
+    """A module or a dependency that cannot be imported takes no other query with it."""
+    for name in [m for m in sys.modules if m.startswith("silverlode.llm") or m == "corpus_pipeline" or m == missing]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, missing, None)
+    assert contract.queries().keys() == contract.table_queries().keys()
+    assert contract.oracle_sql().keys() == contract.table_sql().keys()
 
 
 def test_entry(spark, sf_dir):
