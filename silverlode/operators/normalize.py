@@ -43,11 +43,9 @@ def normalize_marked(df: DataFrame, table: JsonTable) -> DataFrame:
 
     def rows(parsed: Column) -> Column:
         """What one document gives; ``parsed`` is a name for its parse, which runs once."""
-        holds_nothing = document.isNull() | document.rlike(r"^\s*(null\s*)?$")
-        reason = F.when(F.try_parse_json(document).isNull(), MALFORMED).otherwise(OTHER_TYPE)
         reject = F.struct(
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in element],
-            F.lit(True).alias(REJECTED), reason.alias(REASON), document.alias(DOCUMENT),
+            F.lit(True).alias(REJECTED), _reason(document).alias(REASON), document.alias(DOCUMENT),
         )
         found = F.transform(
             parsed,
@@ -56,7 +54,7 @@ def normalize_marked(df: DataFrame, table: JsonTable) -> DataFrame:
                 F.lit(False).alias(REJECTED), F.lit(None).cast("string").alias(REASON), F.lit(None).cast("string").alias(DOCUMENT),
             ),
         )
-        return F.when(parsed.isNotNull(), found).when(~holds_nothing, F.array(reject)).cast(ArrayType(marked))
+        return F.when(parsed.isNotNull(), found).when(_holds_text(document), F.array(reject)).cast(ArrayType(marked))
 
     named = F.transform(F.array(F.from_json(document, table.parse_type)), rows)
     out = df.select(*[F.col(name).alias(out) for name, out in table.parents.items()], F.inline(F.flatten(named)))
@@ -69,9 +67,22 @@ def normalize_marked(df: DataFrame, table: JsonTable) -> DataFrame:
 
 
 def rejected(df: DataFrame, table: JsonTable) -> DataFrame:
-    """The documents that ``normalize`` cannot read: parent columns, reason and text. The elements of others are not unnested."""
-    marked = normalize_marked(df, table)
-    return marked.where(REJECTED).select(*table.parents.values(), REASON, DOCUMENT)
+    """The documents that ``normalize`` cannot read: parent columns, reason and text."""
+    document = F.col(table.column)
+    return df.where(F.from_json(document, table.parse_type).isNull() & _holds_text(document)).select(
+        *[F.col(name).alias(out) for name, out in table.parents.items()],
+        _reason(document).alias(REASON),
+        document.alias(DOCUMENT),
+    )
+
+
+def _holds_text(document: Column) -> Column:
+    """Neither null nor blank nor a JSON null."""
+    return document.isNotNull() & ~document.rlike(r"^\s*(null\s*)?$")
+
+
+def _reason(document: Column) -> Column:
+    return F.when(F.try_parse_json(document).isNull(), MALFORMED).otherwise(OTHER_TYPE)
 
 
 def fill_defaults(df: DataFrame, defaults: dict[str, str | int]) -> DataFrame:

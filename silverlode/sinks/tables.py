@@ -14,6 +14,9 @@ from silverlode.session import delete, exists, replace_folder
 # Documents run to kilobytes, so this keeps files in the hundreds of megabytes.
 ROWS_PER_FILE = 100_000
 
+# Bounds of long texts are cut off; whole ones would make writers leave a column's statistics out, with its number of nulls.
+FOOTERS = {"parquet.statistics.truncate.length": "64"}
+
 
 def write_bronze(
     df: DataFrame,
@@ -36,7 +39,8 @@ def write_bronze(
     replaces = mode == "overwrite" and exists(spark, path)
     target, written = f"{path}-{uuid.uuid4().hex}.new" if replaces else path, False
     try:
-        df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(target, compression="zstd")
+        writer = df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).options(**FOOTERS)
+        writer.parquet(target, compression="zstd")
         written = True
         accept()
     except BaseException:

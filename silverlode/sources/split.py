@@ -60,8 +60,8 @@ def _staged_lines(spark: SparkSession, path: list[str], scratch: Scratch) -> Dat
 
 
 def line_effects(spark: SparkSession, path: str | list[str], *more: Column) -> DataFrame:
-    """Every line with its place and effect."""
-    has_quote = F.col("value").contains('"')
+    """Every line with its place and effect. Most lines with quotes have one, whose effect takes no pattern to tell."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     return (
         spark.read.text(path, lineSep="\n")
         .select(
@@ -69,10 +69,12 @@ def line_effects(spark: SparkSession, path: str | list[str], *more: Column) -> D
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line"),
             "value",
+            F.when(F.col("value").contains('"'), quotes).otherwise(0).alias("quotes"),
             *more,
         )
-        .withColumn("opens", F.when(has_quote, leaves_open(F.col("value"))).otherwise(False))
-        .withColumn("stays", F.when(has_quote, leaves_open(F.concat(F.lit('"'), "value"))).otherwise(True))
+        .withColumn("opens", _opens())
+        .withColumn("stays", _stays())
+        .drop("quotes")
     )
 
 
@@ -81,6 +83,17 @@ def _staged(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _opens() -> Column:
+    """True if a quoted field is open after the line, given that none was open before it."""
+    starts_field = F.col("value").startswith('"') | F.col("value").contains(',"')
+    return F.when(F.col("quotes") == 0, False).when(F.col("quotes") == 1, starts_field).otherwise(leaves_open(F.col("value")))
+
+
+def _stays() -> Column:
+    """The same, given that one was open before it."""
+    return F.when(F.col("quotes") < 2, F.col("quotes") == 0).otherwise(leaves_open(F.concat(F.lit('"'), "value")))
+
+
 def leaves_open(text: Column) -> Column:
     """True if a quoted field is open at the end of a text that starts at a field's start.
 
