@@ -12,7 +12,7 @@ from silverlode.model import BRONZE, JSON_TABLES, MOVIES_CORE, MOVIES_SILVER
 from silverlode.operators import core_movies, normalize, normalize_marked
 from silverlode.session import Scratch, own_session
 from silverlode.sinks import ROWS_PER_FILE, delete_releases, write_bronze, write_release, write_silver
-from silverlode.sources import column_shares, read_csv, scan_bronze
+from silverlode.sources import check_footers, column_shares, read_csv, scan_bronze
 
 # Bytes that a Silver task should read. Its split holds far more file, as a job reads few columns of many; larger splits
 # mean fewer, fuller tasks and output files. Small inputs still spread over all cores.
@@ -92,6 +92,7 @@ def build_silver(
     fmt: str = "delta",
     rejects: bool = False,
     stores: dict[str, str] | None = None,
+    check: bool = True,
 ) -> list[str]:
     """Write all Silver tables and return their names.
 
@@ -100,17 +101,21 @@ def build_silver(
     are written too, by the same jobs, as tables ``<name>_rejects``. As ``delta``, each table is overwritten by
     itself; if one fails, the error carries a note of those that were written.
 
-    Each table is its own map-only job over its own columns, so nothing is cached. A few jobs run at
+    ``check`` compares the footers of all Bronze files with the declared columns first. Each table is its own map-only job over its own columns, so nothing is cached. A few jobs run at
     a time, so that one's last tasks do not leave the cluster idle. They run in sessions of their own, with the
     caller's settings, split sizes for the columns that they read, and settings for ``stores``.
     """
     if rejects and fmt != "parquet":
         raise ValueError("rejects are written as parquet only")
     own = own_session(spark, stores or {})
-    shares = {}
-    for name, schema in BRONZE.items():
-        scan_bronze(own, f"{bronze_path}/{name}", schema)
-        shares[name] = column_shares(own, f"{bronze_path}/{name}")
+
+    def look_at(name: str) -> dict[str, float]:
+        if check:
+            check_footers(own, f"{bronze_path}/{name}", BRONZE[name])
+        return column_shares(own, f"{bronze_path}/{name}")
+
+    with ThreadPoolExecutor(len(BRONZE)) as pool:
+        shares = dict(zip(BRONZE, pool.map(look_at, BRONZE), strict=True))
     tables = {}
     for name, columns in silver_columns().items():
         source = "movies" if name == "movies" else JSON_TABLES[name].source
@@ -164,4 +169,4 @@ def run_pipeline(
     own = own_session(spark, stores or {})
     for name, csv_path in (("movies", movies_csv), ("credits", credits_csv)):
         ingest(own, csv_path, f"{bronze_path}/{name}", BRONZE[name], rows_per_file)
-    return build_silver(own, bronze_path, silver_path, fmt, rejects)
+    return build_silver(own, bronze_path, silver_path, fmt, rejects, check=False)  # these files were just written

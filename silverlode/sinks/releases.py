@@ -42,14 +42,14 @@ class Table:
     folder: str
     schema: StructType
     rows: int
-    digest: int
+    digest: str
 
     def to_json(self) -> dict:
-        return {"folder": self.folder, "schema": self.schema.jsonValue(), "rows": self.rows, "digest": str(self.digest)}
+        return {"folder": self.folder, "schema": self.schema.jsonValue(), "rows": self.rows, "digest": self.digest}
 
     @classmethod
     def from_json(cls, found: dict) -> Table:
-        return cls(found["folder"], StructType.fromJson(found["schema"]), found["rows"], int(found["digest"]))
+        return cls(found["folder"], StructType.fromJson(found["schema"]), found["rows"], found["digest"])
 
 
 @dataclass(frozen=True)
@@ -59,9 +59,14 @@ class Release:
 
 
 def digest(columns: list[str], own: Column | None = None) -> Column:
-    """An aggregate over all rows (or ``own`` ones) that their order and partitions do not change: their hashes, added up."""
-    hashed = F.xxhash64(*[F.col(quoted(c)) for c in columns]).cast("decimal(38,0)")
-    return F.coalesce(F.sum(hashed if own is None else F.when(own, hashed)), F.lit(0))
+    """An aggregate over all rows (or ``own`` ones) that their order and partitions do not change.
+
+    Three sums of 20 bits of each row's hash, which hold 2^43 rows, as text.
+    """
+    hashed = F.xxhash64(*[F.col(quoted(c)) for c in columns])
+    hashed = hashed if own is None else F.when(own, hashed)
+    parts = [F.sum(F.shiftrightunsigned(hashed, shift).bitwiseAND(0xFFFFF)) for shift in (0, 20, 40)]
+    return F.concat_ws("-", *[F.coalesce(part, F.lit(0)) for part in parts])
 
 
 def write_release(
@@ -108,7 +113,7 @@ def write_release(
         (writer.partitionBy(REJECTED) if name in rejects else writer).parquet(f"{root}/{folder}")
         found = seen.get
         return {
-            part: Table(folder + below, columns, found[f"rows_{i}"], int(found[f"digest_{i}"]))
+            part: Table(folder + below, columns, found[f"rows_{i}"], found[f"digest_{i}"])
             for i, (part, (_, columns, below)) in enumerate(parts.items())
         }
 
@@ -171,7 +176,7 @@ def verify_release(spark: SparkSession, root: str, version: int | None = None) -
     for name, df in read_release(spark, root, release.version).items():
         table = release.tables[name]
         found = df.agg(F.count(F.lit(1)).alias("rows"), digest(df.columns).alias("digest")).first()
-        if (found["rows"], int(found["digest"])) != (table.rows, table.digest):
+        if (found["rows"], found["digest"]) != (table.rows, table.digest):
             wrong[name] = f"{found['rows']} rows of digest {found['digest']}, written: {table.rows} of {table.digest}"
     return wrong
 
