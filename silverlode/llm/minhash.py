@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import components, stored
+from silverlode.llm.common import components, spark_partitions, stored
 
 WORDS = 5
 SIMILARITY = 75  # per cent
@@ -20,6 +20,8 @@ SEED = 29
 # Members of a bucket are compared in blocks of about so many.
 BLOCK = 1024
 BLOCK_BYTES = 8 << 20
+# Sets that one task compares, over all pairs of blocks that it is dealt.
+PAIR_BYTES = 4 << 20
 # Pairs whose sketches agree less than so many standard deviations below the similarity asked for are no candidates.
 DEVIATIONS = 5.0
 
@@ -80,7 +82,8 @@ def signature(hashes: np.ndarray, donors: np.ndarray) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, print, bands, sketch): set size, its 128-bit fingerprint, a hash for each band, a byte for each bin."""
+    """(doc_id, text_print, n_shingles, print, bands, sketch): a hash of the text, size and 128-bit fingerprint of its set, a hash
+    for each band, a byte for each bin."""
     donors = _donors(BINS, SEED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,16 +106,18 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_print"),
                     pa.array(sizes, pa.int64()),
                     pa.array(prints, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
                     pa.array(sketches, pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "print", "bands", "sketch"],
+                ["doc_id", "text_print", "n_shingles", "print", "bands", "sketch"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, print binary, bands array<long>, sketch binary"
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_print"))
+    return given.mapInArrow(
+        run, "doc_id long, text_print long, n_shingles long, print binary, bands array<long>, sketch binary"
     )
 
 
@@ -215,6 +220,14 @@ def _in_blocks(rows: DataFrame, group: str, blocks: DataFrame) -> DataFrame:
     )
 
 
+def _pairs(sets: DataFrame, size: DataFrame) -> GroupedData:
+    """Members of families by pairs of blocks. The pairs are dealt out, not the families, to as many tasks as their sets are worth."""
+    sent = size.agg(F.sum(F.col("bytes") * F.col("blocks"))).first()[0] or 0
+    rows = _in_blocks(sets, "family", size.select("family", "blocks"))
+    tasks = spark_partitions(sets, sent, PAIR_BYTES)
+    return rows.repartition(tasks, "family", "low", "high").groupBy("family", "low", "high")
+
+
 def near_duplicates(docs: DataFrame, percent: int = SIMILARITY, words: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
 
@@ -231,17 +244,64 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY, words: int = WOR
     task holds a hot one whole. Each gives fewer edges than it has members, never its pairs.
 
     Texts without words (null, empty, blank) have empty sets and link with nothing. Rows without doc_id link with
-    nothing, have no component, and are kept. Rows that repeat a doc_id are each returned; if their texts differ, the one
-    of least fingerprint stands for the id where texts are compared. An empty table gives no rows. Columns besides
-    doc_id and text are not looked at.
+    nothing, have no component, and are kept. Rows that repeat a doc_id are each returned, with the component of their own
+    text. An empty table gives no rows. Columns besides doc_id and text are not looked at. A very long text is a set like
+    others, in the memory of one task.
+    """
+    return _marked(docs, percent, words).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def deduplicated(docs: DataFrame, percent: int = SIMILARITY, words: int = WORDS) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: of least doc_id, and of the rows of that id that are in the
+    group one of least hash of its text.
+
+    Rows without words or without id stay, however often they repeat. Rows go by id and text, so where an id repeats with
+    texts that are not alike, each has a fate of its own.
+    """
+    print_ = _free("text_print", docs.columns)
+    marked = stored(_marked(docs, percent, words), "marked")
+    heads = marked.where("kept AND n_shingles > 0 AND doc_id IS NOT NULL")
+    several = stored(
+        heads.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min("text_print").alias("best")).where("n > 1"), "several"
+    )
+    more = heads.join(several, "component")
+    gone = marked.where("NOT kept").unionByName(more.where("text_print <> best").select(marked.columns))
+    key = ["doc_id", print_]
+    gone = gone.select("doc_id", F.col("text_print").alias(print_)).distinct()
+    left = docs.withColumn(print_, F.xxhash64("text")).join(gone, key, "left_anti")
+    if not several.isEmpty():
+        again = more.where("text_print = best").select("doc_id", F.col("text_print").alias(print_)).distinct()
+        once = left.join(again, key, "left_semi").dropDuplicates(key)
+        left = left.join(again, key, "left_anti").unionByName(once)
+    return left.drop(print_)
+
+
+def _free(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _marked(docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """The rows of ``near_duplicates``, with the hash of their text and a name of their component that no other has.
+
+    A class is a node named by its least doc_id; of several classes with the same one, those after the first, by
+    fingerprint, get negative names from it.
     """
     signed = stored(_signed(docs, words), "signatures")
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = usable.groupBy("print").agg(F.min("doc_id").alias("id"))
-    named = classes.groupBy(F.col("id").alias("doc_id")).agg(F.min("print").alias("print"))
-    first = usable.join(named, ["doc_id", "print"], "left_semi").dropDuplicates(["doc_id"])
+    least = classes.groupBy("id").agg(F.min("print").alias("least"))
+    other_name = F.xxhash64("print").bitwiseOR(F.lit(-(1 << 63)))
+    classes = stored(
+        classes.join(least, "id").select(
+            "print", F.col("id").alias("doc_id"), F.when(F.col("print") == F.col("least"), F.col("id")).otherwise(other_name).alias("node")
+        ),
+        "classes",
+    )
+    first = usable.join(classes, ["doc_id", "print"]).dropDuplicates(["node"])
 
-    in_band = first.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
+    in_band = first.select(F.col("node").alias("id"), F.explode("bands").alias("bucket"))
     shared = (
         in_band.groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("members"))
@@ -249,42 +309,39 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILARITY, words: int = WOR
         .select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     )
     # Most bands are shared with nobody: sketches go along only with rows that are.
-    sketches = first.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch")
+    sketches = first.select(F.col("node").alias("id"), F.col("n_shingles").alias("n"), "sketch")
     members = _in_blocks(in_band, "bucket", shared).join(sketches, "id")
     stars = stored(
         members.groupBy("bucket", "low", "high").applyInArrow(_candidates(percent), "a long, b long").distinct(), "stars"
     )
     active = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    families = stored(components(active, stars), "families").withColumnsRenamed({"node": "doc_id", "component": "family"})
+    families = components(active, stars).withColumnRenamed("component", "family")
+    families = stored(families.join(classes, "node"), "families")
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = stored(
-        _sets(texts.join(families.select("doc_id"), "doc_id", "left_semi"), words)
-        .join(named, ["doc_id", "print"], "left_semi")
-        .dropDuplicates(["doc_id"])
-        .join(families, "doc_id")
-        .select("family", F.col("doc_id").alias("id"), "hashes"),
+        _sets(texts.join(families.select("doc_id").distinct(), "doc_id", "left_semi"), words)
+        .join(families, ["doc_id", "print"])
+        .dropDuplicates(["node"])
+        .select("family", F.col("node").alias("id"), "hashes"),
         "sets",
     )
-    size = sets.groupBy("family").agg(
-        F.ceil(
-            F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.octet_length("hashes")) / BLOCK_BYTES)
-        ).cast("int").alias("blocks")
-    )
-    links = stored(
-        _in_blocks(sets, "family", size)
-        .groupBy("family", "low", "high")
-        .applyInArrow(_links(percent), "a long, b long")
-        .distinct(),
-        "links",
-    )
+    size = sets.groupBy("family").agg(F.count(F.lit(1)).alias("members"), F.sum(F.octet_length("hashes")).alias("bytes"))
+    size = size.withColumn("blocks", F.ceil(F.greatest(F.col("members") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int"))
+    links = stored(_pairs(sets, size).applyInArrow(_links(percent), "a long, b long").distinct(), "links")
     linked = components(links.select(F.explode(F.array("a", "b")).alias("node")).distinct(), links)
-    resolved = classes.join(linked, F.col("id") == F.col("node"), "left").select(
-        "print", F.coalesce("component", "id").alias("component_id")
+    linked = linked.join(classes.select("node", "doc_id"), "node")
+    named = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    resolved = classes.join(linked.drop("doc_id").join(named, "component"), "node", "left").select(
+        "print",
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("component", "node").alias("component"),
     )
     placed = signed.join(resolved, "print", "left").select(
         "doc_id",
+        "text_print",
         "n_shingles",
+        "component",
         F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
     return placed.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

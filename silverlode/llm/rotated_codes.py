@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import components, stored
+from silverlode.llm.common import components, kept, stored
 from silverlode.llm.minhash import _in_blocks, _stars
 
 COSINE = 0.98
@@ -114,7 +114,7 @@ def _compared(cosine: float, bits: int, tables: int):
         keys = signs[:, : bits * tables].reshape(len(ids), tables, bits) @ (1 << np.arange(bits, dtype=np.int64))
         d = x.shape[1]
         unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-        turned = unit @ rotations(d, d).T[:, :d] if d else unit
+        turned = unit @ kept("rotated_codes", d, lambda: rotations(d, d)).T[:, :d] if d else unit
         # The unbiased estimate of <o, q> from o's code, and how far it may be off.
         quantised = (2.0 * signs[:, :d] - 1) / math.sqrt(d)
         off = CONFIDENCE * np.sqrt(np.maximum(1 - factor**2, 0)) / factor / math.sqrt(max(d - 1, 1e-9))

@@ -163,6 +163,49 @@ def test_near_duplicates_as_by_brute_force(spark, sf_dir):
     assert all(r.kept == (r.doc_id == r.component_id) and r.n_shingles == len(sets[r.doc_id]) for r in found)
 
 
+BASE = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+
+
+def test_texts_of_a_repeated_id_have_components_of_their_own(spark):
+    other, third = BASE.replace("e", "x"), BASE.replace("e", "y")
+    rows = [(1, BASE), (2, BASE + " end"), (2, other), (2, other), (2, third), (3, other + " end"), (4, third), (4, third), (None, BASE)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_print", F.lit("t")).repartition(3)
+    found = {tuple(r) for r in minhash.near_duplicates(docs).select("doc_id", "component_id", "kept").collect()}
+    assert found == {(1, 1, True), (2, 1, False), (2, 2, True), (3, 2, False), (4, 2, False), (None, None, True)}
+    left = minhash.deduplicated(docs)
+    assert left.columns == docs.columns
+    assert sorted(map(tuple, left.select("doc_id", "text").collect()), key=str) == sorted(
+        [(1, BASE), (2, other), (2, third), (None, BASE)], key=str
+    )
+
+
+def test_rows_that_repeat_under_one_id_stay_once(spark):
+    rows = [(5, BASE)] * 4 + [(5, BASE + " end"), (6, BASE)] + [(7, "")] * 3 + [(None, BASE)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [tuple(r) for r in minhash.deduplicated(docs).collect()]
+    assert len(found) == 6 and len([r for r in found if r[0] == 5]) == 1
+    assert found.count((7, "")) == 3 and found.count((None, BASE)) == 2 and 6 not in {r[0] for r in found}
+
+
+def test_pairs_of_blocks_of_a_family_are_dealt_to_many_tasks(spark, monkeypatch):
+    """One family holds all sets: without an exchange by pair, all of its pairs would be one task's."""
+    monkeypatch.setattr(minhash, "PAIR_BYTES", 10)
+    sets = spark.range(3000).select(F.expr("cast(1 + id div 10000 AS int)").alias("family"), "id", F.encode(F.lit("x" * 16), "UTF-8").alias("hashes"))
+    size = spark.createDataFrame([(1, 3000, 48000, 12)], "family int, members long, bytes long, blocks int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        seen = minhash._pairs(sets, size).applyInArrow(
+            lambda t: t.slice(0, 1).select(["low", "high"]), "low int, high int"
+        ).select("low", "high", F.spark_partition_id().alias("task"))
+        plan = seen._jdf.queryExecution().executedPlan().toString()
+        tasks = {r.task for r in seen.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"Exchange hashpartitioning\(family#\d+L?, low#\d+L?, high#\d+L?, \d+\), REPARTITION", plan), plan
+    assert seen.count() == 78 and len(tasks) > 40
+
+
 def test_vectors_link_as_by_brute_force(spark):
     draw = np.random.default_rng(3)
     base = draw.normal(size=(12, 16))
