@@ -40,9 +40,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @keeping_columns
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the least id. Rows without id stay."""
-    gone = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """One row of each group of near duplicates: that of the least id. Rows without id stay."""
+    return minhash.deduplicated(docs)
 
 
 @keeping_columns
