@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.llm.common import stored
+from silverlode.session import scratch_path
 
 LENGTH = 50
 # A window is filed under the least hash of its byte strings of this length.
@@ -302,8 +303,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     A byte goes when a string of 50 bytes over it also starts in a document with a smaller doc_id; ``removed`` has the
     maximal runs (start, end), ``kept`` the bytes left.
 
-    1. Documents are dealt by id into blocks of about 4 MB, kept as a table bucketed by block, so that the later passes join
-       with it without moving a text again.
+    1. Documents are dealt by id into blocks of about 4 MB, kept as files bucketed by block in the shared folder, so that the
+       later passes join with them without moving a text again.
     2. Each window of 50 bytes is filed under the least hash of its 24-byte strings; neighbours under the same
        one make a segment. Blocks send their different anchors to hash ranges, which answer with a bit for
        each: whether two documents have it. Most text ends here.
@@ -330,9 +331,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .groupBy("block")
         .agg(F.collect_list("doc").alias("docs"))
         .write.bucketBy(min(blocks, 50_000), "block")
+        .option("path", scratch_path(spark, "blocks"))
         .saveAsTable(name)
     )
     held = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # its files stay where they are; the plans that read them know their buckets
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

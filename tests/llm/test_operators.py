@@ -26,6 +26,7 @@ from silverlode.llm import (
     templates,
 )
 from silverlode.llm.common import table
+from silverlode.session import own_session
 
 ROWS = 10
 
@@ -531,3 +532,11 @@ def test_pipeline(spark, sf_dir, odd_docs, no_docs):
     docs = table(spark, sf_dir, "documents")
     kept = {r.doc_id for r in perplexity.rules(docs).where("quality.kept").collect()}
     assert set(rows.doc_id) <= kept and (rows.n_tokens > 0).all()
+
+
+def test_repeats_leave_no_table_and_move_no_text_again(spark, sf_dir):
+    own = own_session(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    found = bwt_dedup.remove_repeats(table(own, sf_dir, "documents"))
+    assert not [t.name for t in own.catalog.listTables() if t.name.startswith("bwt_blocks")]
+    assert "Bucketed: true" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == table(own, sf_dir, "documents").count()
