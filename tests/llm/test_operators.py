@@ -25,7 +25,7 @@ from silverlode.llm import (
     sharding,
     templates,
 )
-from silverlode.llm.common import table
+from silverlode.llm.common import stored, table
 from silverlode.session import own_session
 
 ROWS = 10
@@ -528,10 +528,81 @@ def test_pipeline(spark, sf_dir, odd_docs, no_docs):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, odd_docs, sf_dir).columns == odd_docs.columns, name
         assert stage(spark, no_docs, sf_dir).count() == 0
-    rows = corpus_pipeline.run(spark, sf_dir).toPandas()
-    docs = table(spark, sf_dir, "documents")
-    kept = {r.doc_id for r in perplexity.rules(docs).where("quality.kept").collect()}
-    assert set(rows.doc_id) <= kept and (rows.n_tokens > 0).all()
+
+
+def plain_targets(sizes):
+    """Weights 5, 2, 1 in turn over sources in order, none above three times its size."""
+    names = sorted(sizes, key=lambda s: (s is None, s))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    total, fixed = sum(sizes.values()), {}
+    while True:
+        rest = (total - sum(fixed.values())) / sum(weight[s] for s in names if s not in fixed) if len(fixed) < len(names) else 0
+        over = [s for s in names if s not in fixed and rest * weight[s] > 3 * sizes[s]]
+        if not over:
+            return {s: fixed.get(s, rest * weight[s]) for s in names}
+        fixed |= {s: 3 * sizes[s] for s in over}
+
+
+def test_each_stage_does_its_work_on_its_own_input(spark, sf_dir):
+    """Stage by stage over the smallest tables, each held against plain Python on the rows that it was given."""
+    import corpus_pipeline
+
+    def words(text):
+        return (text or "").encode().split()
+
+    frames = [table(spark, sf_dir, "documents")]
+    for name, stage in corpus_pipeline.STAGES:
+        frames.append(stored(stage(spark, frames[-1], sf_dir), name))
+    given, good, one, safe, mixed, encoded = ([r.asDict() for r in f.collect()] for f in frames)
+    of = [{r["doc_id"]: r for r in rows} for rows in (given, good, one, safe)]
+
+    # quality rules: rows as they were, none that the base rules reject, few others gone
+    assert all(of[0][i] == r for i, r in of[1].items())
+    base = {i for i, r in of[0].items() if plain_verdict(r["text"])}
+    assert not base & of[1].keys() and len(of[1]) >= 0.95 * (len(given) - len(base))
+
+    # near duplicates: rows as they were, one of each group
+    sets = {i: set(minhash.shingles(r["text"]).tolist()) for i, r in of[1].items()}
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b])]
+    assert of[2].keys() == {i for i, c in component_of(sets, links).items() if i == c} and len(one) == len(of[2]) < len(good)
+    assert all(of[1][i] == r for i, r in of[2].items())
+
+    # personal data: all rows, and base spans give way to their kinds; more may
+    assert of[3].keys() == of[2].keys() and len(safe) == len(one)
+    for i, r in of[3].items():
+        text, at, parts = of[2][i]["text"], 0, []
+        for start, kind, end in plain_spans(text):
+            if start >= at:
+                parts += [text[at:start], f"<{pii.KINDS[kind].upper()}>"]
+            at = max(at, end)
+        plain = "".join([*parts, text[at:]])
+        assert not plain_spans(r["text"]) and r["n_chars"] == len(r["text"])
+        assert r["text"] == plain or sum(map(r["text"].count, ("<EMAIL>", "<IP>", "<CARD>", "<PHONE>"))) > len(parts) // 2
+        assert {k: v for k, v in r.items() if k not in ("text", "n_chars")} == {k: v for k, v in of[2][i].items() if k not in ("text", "n_chars")}
+
+    # the mix: whole texts, and words of a text in order; sources near their targets, no text above three times
+    taken, sizes, parts = Counter(), Counter(), Counter()
+    for r in safe:
+        sizes[r["source"]] += len(words(r["text"]))
+    for r in mixed:
+        whole, got = words(of[3][r["doc_id"]]["text"]), words(r["text"])
+        rest = iter(whole)
+        assert got and all(w in rest for w in got) and r["source"] == of[3][r["doc_id"]]["source"]
+        taken[r["source"]] += len(got)
+        parts[r["doc_id"]] += len(got)
+    assert all(n <= 3 * len(words(of[3][i]["text"])) for i, n in parts.items())
+    for source, target in plain_targets(sizes).items():
+        assert abs(taken[source] - target) <= 0.05 * target + 2 * mixing.BLOCK_WORDS, source
+
+    # encoding: every row's ids as the library has them, and its bytes back
+    ranks = bpe.read_ranks(queries.RANKS)
+    plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    wanted = []
+    for r in mixed:
+        ids = plain.encode_ordinary(r["text"])
+        digests = (hashlib.sha256(x).hexdigest() for x in (np.array(ids, "<u4").tobytes(), r["text"].encode()))
+        wanted.append((r["doc_id"], len(ids), *digests))
+    assert sorted(tuple(r.values()) for r in encoded) == sorted(wanted)
 
 
 def test_repeats_leave_no_table_and_move_no_text_again(spark, sf_dir):
