@@ -70,7 +70,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("byte_bpe", encode),
 ]
 
-# Stages of statistics, graphs and models cannot be put in SQL; tests hold the run against a plain Python one.
+# Stages of statistics, graphs and models cannot be put in SQL; tests hold each stage against plain Python on its own input.
 ORACLE_SQL = None
 
 
