@@ -49,13 +49,19 @@ _NAMES = frozenset(
 )
 # Words that do not make another thing of a name: site-footer, ad-box.
 _PLAIN = frozenset("site page main top bottom global bar box block wrapper container area inner list links item items".split())
+# Reader comments go by a class or an id that says so, also beside the article's own words (post-comments), and wherever they
+# stand; words of other things (comments-on-x) make it a name of something else.
+_COMMENTS = frozenset("comment comments commentlist disqus respond reply replies".split())
+_WITH_COMMENTS = frozenset("section thread threads body form user users reader readers children holder view text meta".split())
+_ADVERTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion".split())
 _NAMED = frozenset("div section article main header ul ol dl table figure details fieldset center".split())
 _MAIN_NAMES = frozenset("article content post entry story main".split())
+_OF_COMMENTS = _COMMENTS | _WITH_COMMENTS | _PLAIN | _MAIN_NAMES
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th tr tbody thead tfoot table figcaption caption".split())
 
 
 class _Node:
-    __slots__ = ("tag", "dropped", "main", "inside", "parent", "children", "digest", "hash", "holds_main", "size")
+    __slots__ = ("tag", "dropped", "main", "inside", "parent", "children", "digest", "hash", "holds_main", "size", "comments")
 
     def __init__(self, tag: str, parent: _Node | None, attributes: str) -> None:
         self.tag, self.parent = tag, parent
@@ -66,6 +72,7 @@ class _Node:
         self.holds_main = tag in ("article", "main")
         self.size = 0
         self.dropped = tag in _DROPPED
+        self.comments = False
         self.main = tag == "main"
         if attributes and not attributes.isspace():
             self._read(attributes)
@@ -84,11 +91,25 @@ class _Node:
                 self.dropped = True
 
     def _named(self, key: str, token: str) -> None:
-        """What one word of a class or an id says. In an article, only a whole word of a class tells, as ids name its parts."""
+        """What one word of a class or an id says.
+
+        In an article, only a whole word of a class tells, as ids name its parts; comments and adverts go by their names
+        there too. A name that says what is dropped is never that of a main part, whatever else it says.
+        """
         parts = frozenset(re.split(r"[^a-z0-9]+", token)) - {""}
+        if self.tag in _NAMED or self.tag in ("li", "dd"):
+            words = parts & _COMMENTS
+            sure = key == "class" or not self.inside or words & {"comment", "comments", "disqus"}
+            if words and sure and all(part in _OF_COMMENTS or part.isdigit() for part in parts):
+                self.comments = self.dropped = True
+        if key == "class" and token in _ADVERTS:
+            self.dropped = True
         if self.tag in _NAMED:
-            self.dropped |= key == "class" and token in _NAMES if self.inside else bool(parts & _NAMES) and parts <= _NAMES | _PLAIN
-        self.main |= self.tag in ("div", "section") and bool(parts & _MAIN_NAMES)
+            if self.inside:
+                self.dropped |= key == "class" and token in _NAMES
+            else:
+                self.dropped |= bool(parts & _NAMES) and parts <= _NAMES | _PLAIN | _MAIN_NAMES
+        self.main |= self.tag in ("div", "section") and bool(parts & _MAIN_NAMES) and not parts & _NAMES
 
 
 def _close(node: _Node) -> _Node:
@@ -96,7 +117,7 @@ def _close(node: _Node) -> _Node:
     node.hash = node.digest.intdigest() - (1 << 63)
     parent = node.parent
     parent.digest.update(node.hash.to_bytes(8, "little", signed=True))
-    parent.holds_main |= node.holds_main and not node.dropped
+    parent.holds_main |= node.holds_main and not node.dropped and not node.comments
     parent.size += node.size
     return parent
 
@@ -179,7 +200,7 @@ def _contents(root: _Node) -> list[_Node]:
         todo.extend(
             (child, below)
             for child in reversed(node.children)
-            if isinstance(child, _Node) and (not child.dropped or child.holds_main)
+            if isinstance(child, _Node) and not child.comments and (not child.dropped or child.holds_main)
         )
     return articles or mains or [root]
 
@@ -238,7 +259,7 @@ def read(page: str | None) -> tuple[list[tuple[str, list[int]]], set[int], int]:
         else:
             if id(node) in starts:
                 part, live = node, True
-            elif node.dropped and (guarded or not node.holds_main):
+            elif node.dropped and (guarded or node.comments or not node.holds_main):
                 live = False
             if may_recur(node, part):
                 under.append(node.hash)
@@ -265,7 +286,7 @@ def extract(pages: DataFrame, carried: list[str] | None = None) -> DataFrame:
     or main parts goes, and menus, footers, forms, scripts and the like go by element, role and class. White space within
     a block becomes one space; character references are decoded.
 
-    A null or empty page has an empty text; a null or odd url counts as a host of its own name; repeated rows are pages
+    A null or empty page has an empty text; a very long one is parsed in the memory of its task; a null or odd url counts as a host of its own name; repeated rows are pages
     like others; an empty table gives no rows. Only columns named in ``carried`` (all, by default) come back; one named
     main_text is replaced.
     """

@@ -1,6 +1,7 @@
 """Each operator against brute force on small tables, and on odd rows."""
 
 import hashlib
+import html
 import random
 import re
 from collections import Counter, defaultdict
@@ -292,6 +293,86 @@ def test_no_text_of_an_article_is_lost():
     assert texts('<div class="site-footer">f</div><div id="adBox">f</div><div class="share-price">1 EUR</div>') == ["1 EUR"]
 
 
+ARTICLE = "<article><h1>T</h1><p>Body one.</p><p>Body two.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        ARTICLE + '<section id="comments"><article class="comment-body"><p>hi</p></article></section>',
+        ARTICLE + '<article class="comment-body"><p>hi, a comment that is longer than all of the article</p></article>',
+        ARTICLE.replace("</article>", '<div class="comments-area"><ol class="comment-list"><li>hi</ol></div></article>'),
+        ARTICLE.replace("</article>", '<div id="comments"><p>hi</p></div></article>'),
+        ARTICLE.replace("</article>", '<ul><li class="comment">hi</li><li class="comment even depth 2">hi</li></ul></article>'),
+        '<div class="post-content"><h1>T</h1><p>Body one.</p><p>Body two.</p></div><div class="post-comments"><p>hi</p></div>',
+        '<div class="post-content"><h1>T</h1><p>Body one.</p><p>Body two.</p></div><div class="content-sidebar"><p>hi</p></div>',
+        ARTICLE.replace("<p>Body two", '<p class="advert">buy</p><p>Body two'),
+        "<h1>T</h1><p>Body one.</p><p>Body two.</p>" + '<div id="comments"><article><p>hi</p></article></div>',
+    ],
+)
+def test_comments_adverts_and_sidebars_go(page):
+    assert [t for t, _ in templates.blocks(page)] == ["T", "Body one.", "Body two."]
+
+
+def test_given_pages_have_their_articles(spark, sf_dir):
+    """By patterns, as each given page has one article of headings, paragraphs and inline signs only."""
+    sf_dir = sf_dir.replace("sf0.001", "sf0.01")
+    pages = {r.page_id: r.html for r in table(spark, sf_dir, "pages").collect()}
+    found = queries.queries()["op5_site_templates"](spark, sf_dir).collect()
+    assert len(found) == len(pages)
+    for r in found:
+        (article,) = re.findall(r"(?s)<article\b[^>]*>(.*?)</article>", pages[r.page_id])
+        parts = re.split(r"(?i)</?(?:p|h[1-6])\b[^>]*>", re.sub(r"(?i)<br\b[^>]*>", " ", article))
+        texts = [" ".join(html.unescape(re.sub(r"(?s)<!--.*?-->|<[^>]*>", "", x)).split()) for x in parts]
+        assert r.text == "\n\n".join(t for t in texts if t) and r.n_chars == len(r.text), r.page_id
+
+
+def test_pages_with_odd_columns_and_no_pages(spark):
+    rows = [(1, None, None, "a"), (1, "x", "", "b"), (None, "http://h/1", ARTICLE, "c"), (2, "http://h/1", ARTICLE, "d")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, main_text string")
+    pages = pages.withColumns({"host": F.lit("h"), "key": F.lit(1), "template": F.lit("t"), "row": F.lit("r")})
+    found = templates.extract(pages)
+    assert sorted(found.columns) == sorted(pages.columns) and found.count() == 4
+    assert {r.main_text for r in found.collect()} == {"", "T\n\nBody one.\n\nBody two."}
+    assert templates.extract(pages.limit(0)).collect() == []
+
+
+def test_vectors_with_odd_columns_and_no_vectors(spark):
+    rows = [(1, [1.0, 0.0], 1, 5), (1, [1.0, 0.0], 1, 6), (None, [1.0, 0.0], 1, 7), (2, [2.0, 0.0], 1, 8), (3, None, None, 9)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, component_id int")
+    vectors = vectors.withColumns({"print": F.lit("p"), "kept": F.lit("k"), "n_links": F.lit(0), "dim": F.lit(1)})
+    found = sorted(map(tuple, rotated_codes.near_vectors(vectors).collect()), key=str)
+    assert found == sorted([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (None, 0, None, True)], key=str)
+    assert rotated_codes.near_vectors(vectors.limit(0)).collect() == []
+
+
+def test_vectors_planted_in_the_given_table_link_as_by_brute_force(spark, sf_dir):
+    """No two given vectors are alike, so copies at angles around the threshold are put beside them: all pairs, no loss."""
+    vectors = table(spark, sf_dir, "embeddings")
+    draw, rows = np.random.default_rng(8), []
+    for i, r in enumerate(vectors.where("label is not null").limit(200).collect()):
+        v = np.array(r.embedding, float)
+        for k in range(1 + i % 4):
+            off = draw.normal(size=len(v))
+            off -= off @ v / (v @ v) * v
+            angle = np.arccos(draw.uniform(0.972, 0.995))
+            turned = np.cos(angle) * v / np.linalg.norm(v) + np.sin(angle) * off / np.linalg.norm(off)
+            rows.append((100_000 + 10 * i + k, (turned * draw.uniform(0.5, 2)).astype(np.float32).tolist(), r.label))
+    vectors = vectors.unionByName(spark.createDataFrame(rows, vectors.schema))
+    given = [r for r in vectors.collect() if r.embedding is not None and r.label is not None]
+    unit = np.array([r.embedding for r in given], float)
+    norm = np.linalg.norm(unit, axis=1)
+    links = [
+        (given[i].vec_id, given[j].vec_id)
+        for i, j in zip(*np.nonzero(np.triu(unit @ unit.T / np.outer(norm, norm) >= 0.98, 1)), strict=True)
+        if given[i].label == given[j].label
+    ]
+    found = rotated_codes.near_vectors(vectors).collect()
+    counts = Counter(x for link in links for x in link)
+    assert len(links) > 200 and {r.vec_id: r.n_links for r in found} == {r.vec_id: counts[r.vec_id] for r in found}
+    assert {r.vec_id: r.component_id for r in found} == component_of([r.vec_id for r in found], links)
+
+
 # -- mixing, sharding
 
 
