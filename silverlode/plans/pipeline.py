@@ -165,8 +165,16 @@ def run_pipeline(
     rejects: bool = False,
     stores: dict[str, str] | None = None,
 ) -> list[str]:
-    """Load movies, load credits, then build all Silver tables. ``stores`` has Hadoop settings for this run alone."""
+    """Load movies and credits side by side, then build all Silver tables. ``stores`` has Hadoop settings for this run alone.
+
+    If a load fails, its old Bronze table stays, the other load goes on, and nothing is built.
+    """
     own = own_session(spark, stores or {})
-    for name, csv_path in (("movies", movies_csv), ("credits", credits_csv)):
-        ingest(own, csv_path, f"{bronze_path}/{name}", BRONZE[name], rows_per_file)
+    with ThreadPoolExecutor(len(BRONZE)) as pool:
+        jobs = [
+            pool.submit(ingest, own, csv_path, f"{bronze_path}/{name}", BRONZE[name], rows_per_file)
+            for name, csv_path in (("movies", movies_csv), ("credits", credits_csv))
+        ]
+    for job in jobs:
+        job.result()
     return build_silver(own, bronze_path, silver_path, fmt, rejects, check=False)  # these files were just written
