@@ -14,7 +14,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from silverlode.llm.common import kept
+from silverlode.llm.common import give_back, kept
 
 # Words longer than this (in bytes) are merged with a heap: one merge a round would make their rounds quadratic.
 LONG_WORD = 256
@@ -280,6 +280,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", ids
         for batch in batches:
             for piece in _encoded(batch, encoder, text, ids):
                 yield from _decoded(piece, decoder, ids, out)
+        give_back()
 
     return docs.mapInArrow(run, _schema_with(docs, ids, out))
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import shutil
 import tempfile
 from collections.abc import Callable, Hashable
 from functools import reduce
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,14 +80,27 @@ def kept[V](operator: str, key: Hashable = None, build: Callable[[], V] = lambda
 
     A worker goes from stage to stage, so what other operators have kept in it is let go first.
     """
-    for other in _KEPT.keys() - {operator}:
+    others = _KEPT.keys() - {operator}
+    for other in others:
         del _KEPT[other]
+    if others:
+        give_back()
     own = _KEPT.setdefault(operator, {})
     if key not in own:
         own[key] = build()
     return own[key]
 
 
+def give_back() -> None:
+    """In a Python worker: memory that a task has let go returns to the system, as idle workers count beside busy ones."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # other C libraries have no such call
+        pass
+
+
 _SHIPPED: dict[str, str] = {}
 
 

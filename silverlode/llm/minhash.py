@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import components, spark_partitions, stored
+from silverlode.llm.common import components, give_back, kept, spark_partitions, stored
 
 WORDS = 5
 SIMILARITY = 75  # per cent
@@ -87,6 +87,7 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
     donors = _donors(BINS, SEED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("minhash")
         for batch in batches:
             sizes, prints, bands, sketches = [], [], [], []
             for text in batch.column("text"):
@@ -114,6 +115,7 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
                 ],
                 ["doc_id", "text_print", "n_shingles", "print", "bands", "sketch"],
             )
+        give_back()
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_print"))
     return given.mapInArrow(
@@ -123,6 +125,7 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("minhash")
         for batch in batches:
             sets = [shingles(t.as_py(), words) for t in batch.column("text")]
             prints = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
@@ -134,6 +137,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                 ],
                 ["doc_id", "print", "hashes"],
             )
+        give_back()
 
     return docs.mapInArrow(run, "doc_id long, print binary, hashes binary")
 

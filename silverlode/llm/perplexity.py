@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.llm.common import kept, stored
+from silverlode.llm.common import give_back, kept, stored
 
 ORDER = 3
 SYMBOLS = "#*$%&|<>"
@@ -127,6 +127,7 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
                 [pa.array([lang] * len(codes)), pa.array(codes.astype(np.int64)), pa.array(counts.astype(np.int64))],
                 ["language", "gram", "n"],
             )
+        give_back()
 
     counted = docs.select(_language(F.col("lang")).alias("language"), "text").mapInArrow(
         run, "language string, gram long, n long"
@@ -330,6 +331,7 @@ def _measured(docs: DataFrame, models: dict[str, Part], others: set[str] | None
                 ],
                 ["row", "language", "print", *COUNTS, "log_perplexity"],
             )
+        give_back()
 
     return docs.mapInArrow(run, schema)
 

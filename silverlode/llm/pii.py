@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.llm.common import kept, stored
+from silverlode.llm.common import give_back, kept, stored
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -277,6 +277,7 @@ def _patterns(docs: DataFrame) -> list[tuple[str, str, str]]:
                 [*[pa.array([r[i] for r in rows], pa.string()) for i in range(3)], pa.array([r[3] for r in rows], pa.int64())],
                 ["sort", "one", "two", "entity"],
             )
+        give_back()
 
     words = ("sort", "one", "two")
     given = docs.select("text")
@@ -359,6 +360,7 @@ def _scanned(docs: DataFrame, carried: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("number"), *arrays], ["row", "number", *types.names]
             )
+        give_back()
 
     return given.mapInArrow(run, schema)
 
@@ -470,6 +472,7 @@ def redacted(found: DataFrame, columns: list[str]) -> DataFrame:
                 texts.append("".join([*parts, text[at:]]) if text else text)
             arrays = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(arrays, columns)
+        give_back()
 
     schema = T.StructType([found.schema[c] for c in columns])
     out = found.select(*[f"`{c}`" for c in columns], "spans").mapInArrow(run, schema)
