@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -18,10 +19,12 @@ from silverlode.llm.common import give_back, kept
 
 # Words longer than this (in bytes) are merged with a heap: one merge a round would make their rounds quadratic.
 LONG_WORD = 256
-WORDS_PER_QUERY = 40_000
-CHARS_PER_STEP = 1 << 20
-TOKENS_PER_STEP = 1 << 20
-CACHED_WORDS = 200_000
+# A query holds the state of all its rounds until it ends: n (n + 1) / 2 rows at most for a word of n bytes. So many rows
+# take some 50 MB, whatever the words are like.
+ROWS_PER_QUERY = 1_000_000
+CHARS_PER_STEP = 1 << 19
+TOKENS_PER_STEP = 1 << 19
+CACHED_WORDS = 150_000
 
 # A round merges, in every word that has a pair of the merge table, its pair of least rank, the leftmost of equals
 # (rank and place as one number; places run through all words). Words without such a pair add no rows to the next
@@ -79,14 +82,14 @@ class Encoder:
         self._split = regex.compile(pattern).findall
         self._byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self._db = _database()
-        pairs = [
-            (ranks[token[:i]], ranks[token[i:]], rank)
-            for token, rank in ranks.items()
-            for i in range(1, len(token))
-            if token[:i] in ranks and token[i:] in ranks
-        ]
-        first, second, made = (pa.array(np.array(x, np.int32)) for x in zip(*pairs, strict=True))
-        self._db.register("pairs", pa.table({"first": first, "second": second, "id": made}))
+        pairs = array("i")  # flat, as a list of tuples would take more memory than all else here
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                first, second = ranks.get(token[:i]), ranks.get(token[i:])
+                if first is not None and second is not None:
+                    pairs.extend((first, second, rank))
+        columns = np.frombuffer(pairs, np.int32).reshape(-1, 3).T.copy()
+        self._db.register("pairs", pa.table(dict(zip(("first", "second", "id"), columns, strict=True))))
         self._db.execute("CREATE TABLE merges AS SELECT (first::BIGINT << 32) | second AS pair, id FROM pairs")
         self._db.unregister("pairs")
         self._young: dict[str, bytes] = {}
@@ -116,8 +119,8 @@ class Encoder:
                 done[word] = self._merge_long(raw)
             else:
                 rest.append((word, raw))
-        for i in range(0, len(rest), WORDS_PER_QUERY):
-            done.update(self._merge(rest[i : i + WORDS_PER_QUERY]))
+        for step in _steps([len(raw) * (len(raw) + 1) // 2 for _, raw in rest], ROWS_PER_QUERY):
+            done.update(self._merge(rest[step]))
         return done
 
     def _merge(self, words: list[tuple[str, bytes]]) -> Iterator[tuple[str, bytes]]:
@@ -280,7 +283,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", ids
         for batch in batches:
             for piece in _encoded(batch, encoder, text, ids):
                 yield from _decoded(piece, decoder, ids, out)
-        give_back()
+            del batch, piece
+            give_back()  # for each batch, as what several have let go adds up to more than one of them
 
     return docs.mapInArrow(run, _schema_with(docs, ids, out))
 

@@ -692,3 +692,11 @@ def test_repeats_leave_no_table_and_move_no_text_again(spark, sf_dir):
     assert not [t.name for t in own.catalog.listTables() if t.name.startswith("bwt_blocks")]
     assert "Bucketed: true" in found._jdf.queryExecution().executedPlan().toString()
     assert found.count() == table(own, sf_dir, "documents").count()
+
+
+def test_bpe_many_middling_words():
+    """The state of a query's rounds is bounded whatever the words are like: these took more than a database may use."""
+    ranks = bpe.read_ranks(queries.RANKS)
+    encoder, draw = bpe.Encoder(ranks, public_tokenizers.PATTERN), random.Random(1)
+    words = [" " + "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=250)) for _ in range(1500)]
+    assert encoder.texts(["".join(words)]) == [b"".join(encoder._merge_long(w.encode()) for w in words)]
