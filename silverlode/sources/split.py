@@ -60,8 +60,12 @@ def _staged_lines(spark: SparkSession, path: list[str], scratch: Scratch) -> Dat
 
 
 def line_effects(spark: SparkSession, path: str | list[str], *more: Column) -> DataFrame:
-    """Every line with its place and effect. Most lines with quotes have one, whose effect takes no pattern to tell."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    """Every line with its place and effect.
+
+    Doubled quotes are taken out once for both effects. Lines of which each quote that would open a field stands at the start
+    of one take no pattern to tell.
+    """
+    quotes = F.octet_length("single") - F.octet_length(F.replace(F.col("single"), F.lit('"'), F.lit("")))
     return (
         spark.read.text(path, lineSep="\n")
         .select(
@@ -69,12 +73,14 @@ def line_effects(spark: SparkSession, path: str | list[str], *more: Column) -> D
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line"),
             "value",
-            F.when(F.col("value").contains('"'), quotes).otherwise(0).alias("quotes"),
+            _single(F.col("value")).alias("single"),
             *more,
         )
+        .withColumn("quotes", quotes)
+        .withColumn("parts", F.when(F.col("quotes") > 1, F.split("single", '"', -1)))
         .withColumn("opens", _opens())
         .withColumn("stays", _stays())
-        .drop("quotes")
+        .drop("single", "quotes", "parts")
     )
 
 
@@ -85,22 +91,48 @@ def _staged(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
 
 def _opens() -> Column:
     """True if a quoted field is open after the line, given that none was open before it."""
-    starts_field = F.col("value").startswith('"') | F.col("value").contains(',"')
-    return F.when(F.col("quotes") == 0, False).when(F.col("quotes") == 1, starts_field).otherwise(leaves_open(F.col("value")))
+    starts_field = F.col("single").startswith('"') | F.col("single").contains(',"')
+    return (
+        F.when(F.col("quotes") == 0, False)
+        .when(F.col("quotes") == 1, starts_field)
+        .when(_at_field_starts(0), F.col("quotes") % 2 == 1)
+        .otherwise(_last_is_open(F.col("single")))
+    )
 
 
 def _stays() -> Column:
     """The same, given that one was open before it."""
-    return F.when(F.col("quotes") < 2, F.col("quotes") == 0).otherwise(leaves_open(F.concat(F.lit('"'), "value")))
+    return (
+        F.when(F.col("quotes") < 2, F.col("quotes") == 0)
+        .when(_at_field_starts(1), F.col("quotes") % 2 == 0)
+        .otherwise(_last_is_open(F.concat(F.lit('"'), "single")))
+    )
+
+
+def _at_field_starts(first: int) -> Column:
+    """True if the quotes after the parts ``first``, ``first`` + 2 and so on stand at a field's start. Then quotes open and
+    close by turns."""
+    elsewhere = F.filter(
+        "parts",
+        lambda part, i: (i % 2 == first) & (i < F.col("quotes")) & ~part.endswith(",") & ~((i == 0) & (part == "")),
+    )
+    return F.size(elsewhere) == 0
 
 
 def leaves_open(text: Column) -> Column:
     """True if a quoted field is open at the end of a text that starts at a field's start.
 
-    Doubled quotes never change this, so they are taken out first. Then whole fields are taken off
-    the front, as a quote counts only at the start of a field; the rest is the last field.
+    Doubled quotes never change this, so they are taken out first.
     """
-    single = F.replace(text, F.lit('""'), F.lit(""))
+    return _last_is_open(_single(text))
+
+
+def _single(text: Column) -> Column:
+    return F.replace(text, F.lit('""'), F.lit(""))
+
+
+def _last_is_open(single: Column) -> Column:
+    """Whole fields are taken off the front, as a quote counts only at the start of a field; the rest is the last field."""
     last_field = F.regexp_replace(single, r'\G(?:"[^"]*+"[^,]*+|[^",][^,]*+)?,', "")
     return last_field.rlike(r'^"[^"]*+$')
 

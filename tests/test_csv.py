@@ -2,6 +2,7 @@
 
 import gzip
 import math
+from itertools import product
 
 import pandas as pd
 import pytest
@@ -9,11 +10,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from silverlode.functions.text import NULL_WORDS
 from silverlode.model import struct
 from silverlode.session import own_session
-from silverlode.sources import read_csv
+from silverlode.sources import read_csv, split
+from silverlode.sources.split import line_effects
 
 PARITY = b'''id,title,js,rt,d,flag,big
 1,"A, ""q""","[{""id"": 1, ""name"": ""x\\u00e9 \\""w\\"""" }]",100.0,2009-12-10,True,1
@@ -406,3 +409,30 @@ def test_lost_texts_are_counted(spark, tmp_path):
     df = read_csv(spark, path, struct(id="long", x="double", f="boolean", t="string"), losses=losses)
     assert len(rows(df)) == 4
     assert losses.get == {"rows": 4, "lost id": 2, "lost x": 1, "lost f": 1}
+
+
+def test_effects_of_all_short_lines(spark, tmp_path):
+    """Against a reader of single signs, from either state."""
+
+    def ends_open(text, state):
+        for sign in text:
+            if state == "in":
+                state = "quote" if sign == '"' else "in"
+            elif sign == '"':
+                state = {"start": "in", "quote": "in"}.get(state, "plain")
+            else:
+                state = "start" if sign == "," else "plain"
+        return state == "in"
+
+    lines = ["".join(signs) for n in range(7) for signs in product('",a', repeat=n)]
+    (tmp_path / "lines.txt").write_text("\n".join(lines) + "\n")
+    found = {r["value"]: (r["opens"], r["stays"]) for r in line_effects(spark, str(tmp_path)).collect()}
+    assert found == {line: (ends_open(line, "start"), ends_open(line, "in")) for line in lines}
+
+
+def test_lines_of_regular_fields_take_no_pattern(spark, monkeypatch, tmp_path):
+    """What lines with quoted fields do where none was open comes from their quotes alone."""
+    (tmp_path / "lines.txt").write_text('1,"a","[{""k"":""v, w""}]"\n"b, ""c""",2,"open\nclose,""",3,"d"\n')
+    monkeypatch.setattr(split, "_last_is_open", lambda single: F.raise_error(F.lit("a pattern")).cast("boolean"))
+    found = line_effects(spark, str(tmp_path)).select("value", "opens").collect()
+    assert {r["value"][0]: r["opens"] for r in found} == {"1": False, '"': True, "c": False}

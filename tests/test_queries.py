@@ -1,5 +1,6 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import re
 import sys
 from dataclasses import replace
 
@@ -38,6 +39,12 @@ def test_every_silver_table_of_the_pipeline(spark, con, sf_dir):
         assert assert_same(df, con, sql) > 0
 
 
+def test_inputs_are_built_by_several_tasks(spark, sf_dir):
+    """However few splits a table of parent rows has, its documents are not one task's work."""
+    files = fixtures.bronze(spark, sf_dir, "credits").inputFiles()
+    assert len({re.search(r"/part-([0-9]+)", f)[1] for f in files}) > 2
+
+
 def test_a_digest_tells_rows_apart(spark):
     """Order does not matter; a changed value, a row more or an exchange between columns does."""
     def digest(*rows):
