@@ -31,6 +31,9 @@ BYTES_PER_PARTITION = 1024 * 1024 * 1024
 
 _BLANK = r"^[ \t\r]*$"
 
+# Where a quote may stand: at the start of a field, further on in one, or in a quoted one.
+_START, _PLAIN, _QUOTED = range(3)
+
 
 def split_records(spark: SparkSession, path: list[str], header: list[str], size: int, scratch: Scratch) -> DataFrame:
     """All records as one string column per cell of the header, plus ``RECORD``; headers left out.
@@ -62,8 +65,7 @@ def _staged_lines(spark: SparkSession, path: list[str], scratch: Scratch) -> Dat
 def line_effects(spark: SparkSession, path: str | list[str], *more: Column) -> DataFrame:
     """Every line with its place and effect.
 
-    Doubled quotes are taken out once for both effects. Lines of which each quote that would open a field stands at the start
-    of one take no pattern to tell.
+    Doubled quotes never change the state, so they are taken out first. What is left is told from the parts between the quotes.
     """
     quotes = F.octet_length("single") - F.octet_length(F.replace(F.col("single"), F.lit('"'), F.lit("")))
     return (
@@ -73,7 +75,7 @@ def line_effects(spark: SparkSession, path: str | list[str], *more: Column) -> D
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line"),
             "value",
-            _single(F.col("value")).alias("single"),
+            F.replace(F.col("value"), F.lit('""'), F.lit("")).alias("single"),
             *more,
         )
         .withColumn("quotes", quotes)
@@ -92,49 +94,27 @@ def _staged(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
 def _opens() -> Column:
     """True if a quoted field is open after the line, given that none was open before it."""
     starts_field = F.col("single").startswith('"') | F.col("single").contains(',"')
-    return (
-        F.when(F.col("quotes") == 0, False)
-        .when(F.col("quotes") == 1, starts_field)
-        .when(_at_field_starts(0), F.col("quotes") % 2 == 1)
-        .otherwise(_last_is_open(F.col("single")))
-    )
+    return F.when(F.col("quotes") == 0, False).when(F.col("quotes") == 1, starts_field).otherwise(leaves_open(_START))
 
 
 def _stays() -> Column:
     """The same, given that one was open before it."""
-    return (
-        F.when(F.col("quotes") < 2, F.col("quotes") == 0)
-        .when(_at_field_starts(1), F.col("quotes") % 2 == 0)
-        .otherwise(_last_is_open(F.concat(F.lit('"'), "single")))
-    )
-
+    return F.when(F.col("quotes") < 2, F.col("quotes") == 0).otherwise(leaves_open(_QUOTED))
 
-def _at_field_starts(first: int) -> Column:
-    """True if the quotes after the parts ``first``, ``first`` + 2 and so on stand at a field's start. Then quotes open and
-    close by turns."""
-    elsewhere = F.filter(
-        "parts",
-        lambda part, i: (i % 2 == first) & (i < F.col("quotes")) & ~part.endswith(",") & ~((i == 0) & (part == "")),
-    )
-    return F.size(elsewhere) == 0
 
+def leaves_open(state: int) -> Column:
+    """True if a quoted field is open at the end of a line that begins in the state given.
 
-def leaves_open(text: Column) -> Column:
-    """True if a quoted field is open at the end of a text that starts at a field's start.
-
-    Doubled quotes never change this, so they are taken out first.
+    Each of the line's ``parts`` but the last ends with a quote, which closes a field that is open, opens one at the start of
+    a field, and counts as text anywhere else.
     """
-    return _last_is_open(_single(text))
-
-
-def _single(text: Column) -> Column:
-    return F.replace(text, F.lit('""'), F.lit(""))
-
-
-def _last_is_open(single: Column) -> Column:
-    """Whole fields are taken off the front, as a quote counts only at the start of a field; the rest is the last field."""
-    last_field = F.regexp_replace(single, r'\G(?:"[^"]*+"[^,]*+|[^",][^,]*+)?,', "")
-    return last_field.rlike(r'^"[^"]*+$')
+    return F.aggregate(
+        F.slice("parts", F.lit(1), F.col("quotes")),
+        F.lit(state),
+        lambda at, part: F.when(at == _QUOTED, _PLAIN)
+        .when(part.endswith(",") | ((at == _START) & (part == "")), _QUOTED)
+        .otherwise(_PLAIN),
+    ) == F.lit(_QUOTED)
 
 
 def _with_open_before(df: DataFrame, partition: list[str], order: list[str]) -> DataFrame:
