@@ -2,8 +2,8 @@
 
 A movie is a row of ``part``; a credits record is a row of ``orders``. The elements of a row's
 JSON arrays are computed from that row and the element's number ``i``, so an array is bounded by
-the rule that makes it, no rows are gathered by key, and building the input needs no shuffle
-whatever the keys look like. Each rule is plain SQL that Spark uses to build the documents and an
+the rule that makes it, no rows are gathered by key, and building the input shuffles parent rows
+alone, by their number, whatever the keys look like. Each rule is plain SQL that Spark uses to build the documents and an
 oracle uses, without any JSON, to list the rows that must come out of them.
 """
 
